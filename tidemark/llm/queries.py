@@ -9,6 +9,7 @@ from ..session import ship
 #: query -> module
 _WHERE = {
     "op5_url_filter": "url_filter",
+    "op9_packing": "packing",
     "op10_host_rules": "host_rules",
 }
 
