@@ -9,6 +9,7 @@ from ..session import ship
 #: query -> module
 _WHERE = {
     "op5_url_filter": "url_filter",
+    "op6_substring_dedup": "substring_dedup",
     "op7_near_dedup": "near_dedup",
     "op9_packing": "packing",
     "op10_host_rules": "host_rules",
