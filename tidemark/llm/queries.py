@@ -8,6 +8,8 @@ from ..session import ship
 
 #: query -> module
 _WHERE = {
+    "op1_quality": "quality",
+    "op3_language_id": "language_id",
     "op5_url_filter": "url_filter",
     "op6_substring_dedup": "substring_dedup",
     "op7_near_dedup": "near_dedup",
