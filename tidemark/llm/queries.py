@@ -9,10 +9,13 @@ from ..session import ship
 #: query -> module
 _WHERE = {
     "op1_quality": "quality",
+    "op2_line_dedup": "line_dedup",
     "op3_language_id": "language_id",
+    "op4_decontaminate": "decontaminate",
     "op5_url_filter": "url_filter",
     "op6_substring_dedup": "substring_dedup",
     "op7_near_dedup": "near_dedup",
+    "op8_license_scan": "license_scan",
     "op9_packing": "packing",
     "op10_host_rules": "host_rules",
 }
