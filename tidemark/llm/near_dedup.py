@@ -280,6 +280,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, the one with the smallest id."""
+    kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("__kept")).distinct()
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+
+
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Three-word shingles at 85 in 100, as the contract of this query states."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
