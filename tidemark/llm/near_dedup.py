@@ -10,10 +10,10 @@
     everything in it is also compared with the region's smallest id.
 3.  Inside a region signatures are compared in numpy.  First each member proposes its
     most similar partner and the best connected one; proposals are confirmed on full
-    sets and joined into components.  Then all pairs of a region between *different*
-    components whose signatures are within four standard errors of the threshold are
-    confirmed as well, which leaves no candidate of the forest undecided without
-    ever writing out the pairs inside a group of copies.
+    sets and joined into components.  Then the members with a pair between *different*
+    components whose signatures are within four standard errors of the threshold meet
+    again with their full sets and decide those pairs inside the region, which leaves
+    no candidate of the forest undecided and never writes out the pairs of a group.
 
 At similarity s a pair shares a region in none of the trees with probability
 ``(1 - s**4) ** TREES``: 2e-8 at 0.85 and 3e-6 at 0.8.
@@ -135,7 +135,7 @@ def _regions(classes: DataFrame) -> DataFrame:
     return kept.union(deep.select("rep", "tree", "region", F.lit(len(DEPTHS)).alias("level")))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...]) -> Iterator[dict[str, np.ndarray]]:
+def _groups(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], lists: tuple[str, ...] = ()) -> Iterator[dict[str, np.ndarray]]:
     """Runs of one region in rows sorted by region."""
     held: list[dict] = []
     name = None
@@ -148,6 +148,8 @@ def _groups(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...]) -> Itera
             continue
         region = batch["region"].to_numpy(zero_copy_only=False)
         cols = {f: batch[f].to_numpy(zero_copy_only=False) for f in fields}
+        for f in lists:
+            cols[f] = np.array([*batch[f].to_pylist(), None], object)[:-1]
         raw = batch["sig"].cast(pa.large_binary())
         cols["sig"] = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, PERMS)
         edge = np.flatnonzero(region[1:] != region[:-1]) + 1
@@ -193,33 +195,83 @@ def _proposals(rows: DataFrame, percent: int, least: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, kind int, b long, alike long")
 
 
+def _near(g: dict[str, np.ndarray], percent: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places and likeness of a region's pairs in different components that come near the threshold.
+
+    A pair that shares several top regions belongs to the first of them only.
+    """
+    rep, n, sig, comp, m = g["rep"], g["n"], g["sig"], g["component"], len(g["rep"])
+    if m < 2 or (comp == comp[0]).all():
+        return
+    tree, settled = int(g["tree"][0]), int(g["settled"][0])
+    step = max(1, (1 << 22) // (m * PERMS))
+    for i in range(0, m, step):
+        like = _alike(sig, slice(i, i + step))
+        x, y = np.nonzero((like >= least) & (comp[i : i + step, None] != comp[None, :]) & (rep[i : i + step, None] < rep[None, :]))
+        like = like[x, y]
+        x += i
+        keep = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+        for t in range(tree):
+            if settled >> t & 1:
+                own = ORDERS[t][:4]
+                keep[keep] = (sig[x[keep]][:, own] != sig[y[keep]][:, own]).any(1)
+        if keep.any():
+            yield x[keep], y[keep], like[keep]
+
+
+_OPEN = ("region", "rep", "n", "component", "tree", "settled")
+
+
 def _undecided(rows: DataFrame, percent: int, least: int) -> DataFrame:
-    """a, b: pairs of a region in different components whose signatures come near the threshold.
+    """region, rep: who has an undecided pair in a region (the pairs themselves are not written)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches, _OPEN):
+            at = [np.unique(np.concatenate([x, y])) for x, y, _ in _near(g, percent, least)]
+            if at:
+                rep = g["rep"][np.unique(np.concatenate(at))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rep), g["region"][0])), pa.array(rep)], ["region", "rep"])
+
+    return rows.mapInArrow(run, "region long, rep long")
 
-    A pair that shares several top regions is written in the first of them only.
+
+def _alike_enough(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    both = len(p) + len(q) - len(np.union1d(p, q))
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
+def _settled(rows: DataFrame, percent: int, least: int) -> DataFrame:
+    """a, b: links between components, decided on full sets inside each region.
+
+    The likeliest pairs come first, and a pair whose components have met by then is
+    skipped, so a region writes fewer links than it has members.
     """
-    first_four = [o[:4] for o in ORDERS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, ("rep", "n", "component", "tree", "settled")):
-            rep, n, sig, comp, m = g["rep"], g["n"], g["sig"], g["component"], len(g["rep"])
-            if m < 2 or (comp == comp[0]).all():
+        for g in _groups(batches, _OPEN, ("grams",)):
+            found = list(_near(g, percent, least))
+            if not found:
                 continue
-            tree, settled = int(g["tree"][0]), int(g["settled"][0])
-            step = max(1, (1 << 22) // (m * PERMS))
-            for i in range(0, m, step):
-                like = _alike(sig, slice(i, i + step))
-                near = (like >= least) & (comp[i : i + step, None] != comp[None, :]) & (rep[i : i + step, None] < rep[None, :])
-                x, y = np.nonzero(near)
-                x += i
-                keep = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
-                x, y = x[keep], y[keep]
-                for t in range(tree):
-                    if len(x) and settled >> t & 1:
-                        other = (sig[x][:, first_four[t]] != sig[y][:, first_four[t]]).any(1)
-                        x, y = x[other], y[other]
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(rep[x]), pa.array(rep[y])], ["a", "b"])
+            x, y, like = (np.concatenate(c) for c in zip(*found))
+            comp, rep = g["component"].tolist(), g["rep"].tolist()
+            sets = [np.frombuffer(v, np.uint64) for v in g["grams"]]
+            up: dict[int, int] = {}
+
+            def top(c: int) -> int:
+                while c in up:
+                    c = up[c]
+                return c
+
+            links = []
+            for i in np.argsort(-like.astype(np.int64), kind="stable").tolist():
+                a, b = int(x[i]), int(y[i])
+                p, q = top(comp[a]), top(comp[b])
+                if p != q and _alike_enough(sets[a], sets[b], percent):
+                    up[max(p, q)] = min(p, q)
+                    links.append((rep[a], rep[b]))
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -230,11 +282,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch["x"], batch["y"]):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(p) + len(q) - len(np.union1d(p, q))
-                good.append(100 * both >= percent * (len(p) + len(q) - both))
+            good = [_alike_enough(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch["x"], batch["y"])]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
@@ -269,8 +317,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .select("region", "tree", "rep", "n", "sig", F.coalesce("component", "rep").alias("component"), F.coalesce("settled", F.lit(0)).alias("settled"))
     )
-    more = _undecided(open_.repartition(parts, "region").sortWithinPartitions("region", "rep"), percent, least).distinct()
-    links2 = cut(_confirmed(cut(more), sets, percent))
+    open_ = cut(open_)
+    sort = ["region", "rep"]
+    part = _undecided(open_.repartition(parts, "region").sortWithinPartitions(*sort), percent, least)
+    part = open_.join(part, sort).join(sets.dropDuplicates(["id"]).withColumnRenamed("id", "rep"), "rep")
+    links2 = cut(_settled(part.repartition(parts, "region").sortWithinPartitions(*sort), percent, least))
     labels2 = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links2), cut)
     named = classes.select("h1", "h2", "id").join(labels2.withColumnRenamed("node", "h1"), "h1", "left").select("h1", "h2", "id", F.coalesce("component", "h1").alias("component"))
     lowest = named.groupBy("component").agg(F.min("id").alias("lowest"))
