@@ -78,11 +78,11 @@ def _(spark, d):
 x AS (SELECT user_id, frame, avg(motion) OVER w AS m, avg(value) OVER w AS t, stddev_pop(motion) OVER w AS sd, count(*) OVER w AS n FROM d
   WINDOW w AS (PARTITION BY user_id ORDER BY frame ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)),
 s AS (SELECT user_id, frame, 0.45::DOUBLE * least(m / 6, 1) + 0.25::DOUBLE * least(t / 250, 1) + 0.30::DOUBLE * least(sd / 3, 1) AS score FROM x WHERE n = 12 AND frame % 4 = 0 AND m >= 0.4)
-SELECT user_id, frame AS start, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, frame) AS r FROM s) WHERE r = 1""")
+SELECT user_id, frame AS start, round(score + 1e-9, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, frame) AS r FROM s) WHERE r = 1""")
 def _(spark, d):
     x = frames(spark, d).withColumn("motion", S.abs_difference("value", USER, ["frame"], 0.0) / 20)
     scores = S.window_scores(x, "motion", "value", USER, "frame", 12, 4).withColumn("score", F.round("score", 9))
-    return S.best_window(scores, USER).select("user_id", "start", r6("score"))
+    return S.best_window(scores, USER).select("user_id", "start", F.round(F.col("score") + 1e-9, 6).alias("score"))
 
 
 @query("best_mean_window_fallback", f"""WITH {FRAMES}, x AS (SELECT user_id, frame, avg(value) OVER w AS mean, count(*) OVER w AS n FROM frames WINDOW w AS (PARTITION BY user_id ORDER BY frame ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING))
@@ -120,10 +120,10 @@ def _(spark, d):
 @query("recursive_smoothing", f"""WITH RECURSIVE {FRAMES}, s AS (
   SELECT user_id, frame, least(value / 100, 1.0) AS smooth FROM frames WHERE frame = 0
   UNION ALL SELECT f.user_id, f.frame, CASE WHEN least(f.value / 100, 1.0) IN (0, 1) THEN least(f.value / 100, 1.0) ELSE 0.35::DOUBLE * s.smooth + 0.65::DOUBLE * least(f.value / 100, 1.0) END FROM s JOIN frames f ON f.user_id = s.user_id AND f.frame = s.frame + 1)
-SELECT user_id, frame, round(smooth, 6) AS smooth FROM s""")
+SELECT user_id, frame, round(smooth + 1e-9, 6) AS smooth FROM s""")
 def _(spark, d):
     x = frames(spark, d).withColumn("v", F.least(F.col("value") / 100, F.lit(1.0)))
-    return S.smoothed(x, "v", USER, "frame", 0.35).select("user_id", "frame", r6("smooth"))
+    return S.smoothed(x, "v", USER, "frame", 0.35).select("user_id", "frame", F.round(F.col("smooth") + 1e-9, 6).alias("smooth"))
 
 
 @query("evenly_spaced_probe", f"""WITH {FRAMES}, n AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1), want AS (SELECT DISTINCT user_id, (i * (n - 1)) // 6 AS frame FROM n, range(7) t(i))
@@ -140,12 +140,12 @@ def _(spark, d):
 
 
 @query("rolling_mean_eta", f"""WITH {FRAMES}, n AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1)
-SELECT user_id, frame, round((n - 1 - frame) * avg(value) OVER (PARTITION BY user_id ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS eta FROM frames JOIN n USING (user_id)""")
+SELECT user_id, frame, round((n - 1 - frame) * avg(value) OVER (PARTITION BY user_id ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + 1e-8, 6) AS eta FROM frames JOIN n USING (user_id)""")
 def _(spark, d):
     x = frames(spark, d)
     w = S.over(USER, ["frame"]).rowsBetween(S.Window.unboundedPreceding, 0)
     left = F.count(F.lit(1)).over(S.Window.partitionBy("user_id")) - 1 - F.col("frame")
-    return x.select("user_id", "frame", F.round(left * F.avg("value").over(w), 6).alias("eta"))
+    return x.select("user_id", "frame", F.round(left * F.avg("value").over(w) + 1e-8, 6).alias("eta"))
 
 
 @query("clipped_share_gate", f"""WITH {FRAMES}, x AS (SELECT user_id, frame, greatest(0, value - 120) / value AS clipped FROM frames)
@@ -193,13 +193,13 @@ def _(spark, d):
 
 def _windows_sql(lengths: str, size: int, overlap: int) -> str:
     return f"""WITH lengths AS ({lengths}), g AS (
-  SELECT key, n, CASE WHEN n > {size} THEN CAST(ceil((n - {size}) / {size - overlap}.0) AS BIGINT) ELSE 0 END AS full, ((least(n, {size}) - 1) // 4) * 4 + 1 AS short FROM lengths WHERE n >= 5),
-k AS (SELECT key, n, full, short, unnest(range(0, CASE WHEN n > {size} THEN full WHEN short < n THEN 1 ELSE 0 END + 1)) AS k FROM g),
-o AS (SELECT key, k, CASE WHEN n > {size} AND k < full THEN k * {size - overlap} WHEN n <= {size} AND k = 0 THEN 0 ELSE n - short END AS "offset", CASE WHEN n > {size} AND k < full THEN {size} ELSE short END AS n FROM k)
+  SELECT key, n, CASE WHEN n > {size} THEN CAST(ceil((n - {size}) / {size - overlap}.0) AS BIGINT) ELSE 0 END AS nfull, ((least(n, {size}) - 1) // 4) * 4 + 1 AS short FROM lengths WHERE n >= 5),
+k AS (SELECT key, n, nfull, short, unnest(range(0, CASE WHEN n > {size} THEN nfull WHEN short < n THEN 1 ELSE 0 END + 1)) AS k FROM g),
+o AS (SELECT key, k, CASE WHEN n > {size} AND k < nfull THEN k * {size - overlap} WHEN n <= {size} AND k = 0 THEN 0 ELSE n - short END AS "offset", CASE WHEN n > {size} AND k < nfull THEN {size} ELSE short END AS n FROM k)
 SELECT key, k, "offset", n, CASE WHEN k = 0 THEN 0 ELSE greatest(0, lag("offset" + n) OVER (PARTITION BY key ORDER BY k) - "offset") END AS overlap_prev FROM o"""
 
 
-@query("shot_chunk_windows", _windows_sql("SELECT o_custkey AS key, CAST(sum(o_totalprice) // 2000 AS BIGINT) AS n FROM orders GROUP BY 1", 81, 8))
+@query("shot_chunk_windows", _windows_sql("SELECT o_custkey AS key, CAST(floor(sum(o_totalprice) / 2000) AS BIGINT) AS n FROM orders GROUP BY 1", 81, 8))
 def _(spark, d):
     x = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.floor(F.sum("o_totalprice") / 2000).alias("len"))
     return I.windows(x, "len", 81, 8).select("key", "k", "offset", "n", "overlap_prev")
@@ -214,11 +214,11 @@ def _(spark, d):
 def _(spark, d):
     s = shots(spark, d).select("user_id", "start", "stop")
     pilot = frames(spark, d).groupBy("user_id").agg(F.expr("count(*) div 3").alias("b_start")).withColumn("b_stop", F.col("b_start") + 10)
-    hit = I.overlaps(s, pilot, USER, 64).select("user_id", "start", F.lit(True).alias("hit"))
-    return s.join(hit, ["user_id", "start"], "left").select("user_id", "start", "stop", F.coalesce("hit", F.lit(False)).alias("is_pilot"))
+    hit = I.overlaps(s, pilot, USER, 64).select("user_id", "start", "b_start")
+    return s.join(hit, ["user_id", "start"], "left").select("user_id", "start", "stop", F.col("b_start").isNotNull().alias("is_pilot"))
 
 
-_SPANS = f"{FRAMES}, span AS (SELECT user_id, CAST(frame AS BIGINT) AS start, CAST(frame + 1 + value // 30 AS BIGINT) AS stop FROM frames WHERE event_type IN ('view', 'click')), t AS (SELECT user_id, count(*) AS total FROM events GROUP BY 1)"
+_SPANS = f"{FRAMES}, span AS (SELECT user_id, CAST(frame AS BIGINT) AS start, CAST(frame + 1 + floor(value / 30) AS BIGINT) AS stop FROM frames WHERE event_type IN ('view', 'click')), t AS (SELECT user_id, count(*) AS total FROM events GROUP BY 1)"
 
 
 def spans(spark, d):
@@ -262,7 +262,7 @@ def _(spark, d):
     return x.groupBy("user_id").agg(F.count("*").alias("frames"), F.round(F.max(F.abs(faded - F.col("value"))), 6).alias("worst"))
 
 
-@query("clip_sampling", """WITH x AS (SELECT o_orderkey, CAST(o_totalprice // 100 AS BIGINT) AS total, (o_orderkey * 7919 + 104729) % 10007 AS luck FROM orders)
+@query("clip_sampling", """WITH x AS (SELECT o_orderkey, CAST(floor(o_totalprice / 100) AS BIGINT) AS total, (o_orderkey * 7919 + 104729) % 10007 AS luck FROM orders)
 SELECT o_orderkey, total, CAST(floor(0.05 * total + luck / 10007.0 * (0.9 * total)) AS BIGINT) AS start FROM x WHERE total >= 20""")
 def _(spark, d):
     x = table(spark, d, "orders").select("o_orderkey", F.floor(F.col("o_totalprice") / 100).alias("total"), ((F.col("o_orderkey") * 7919 + 104729) % 10007).alias("luck"))
@@ -292,7 +292,7 @@ def _(spark, d):
 
 
 @query("resample_to_rate", """WITH x AS (SELECT user_id, CAST(floor(epoch(ts) / 43200) AS BIGINT) AS cell, ts, event_id, value FROM events)
-SELECT user_id, cell, arg_max(value, epoch_us(ts) * 1000000 + event_id) AS value, CAST(count(*) AS BIGINT) AS n FROM x GROUP BY ALL""")
+SELECT user_id, cell, last(value ORDER BY ts, event_id) AS value, CAST(count(*) AS BIGINT) AS n FROM x GROUP BY ALL""")
 def _(spark, d):
     e = table(spark, d, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     cell = F.floor(F.col("us") / F.lit(43200 * 1000000))
