@@ -214,8 +214,9 @@ def _(spark, d):
 def _(spark, d):
     s = shots(spark, d).select("user_id", "start", "stop")
     pilot = frames(spark, d).groupBy("user_id").agg(F.expr("count(*) div 3").alias("b_start")).withColumn("b_stop", F.col("b_start") + 10)
-    hit = I.overlaps(s, pilot, USER, 64).select("user_id", "start", "b_start")
-    return s.join(hit, ["user_id", "start"], "left").select("user_id", "start", "stop", F.col("b_start").isNotNull().alias("is_pilot"))
+    hit = I.overlaps(s, pilot, USER, 64).select("user_id", "start", "stop", F.lit(1).alias("hit"))
+    marked = s.withColumn("hit", F.lit(0)).union(hit)
+    return marked.groupBy("user_id", "start", "stop").agg((F.max("hit") == 1).alias("is_pilot"))
 
 
 _SPANS = f"{FRAMES}, span AS (SELECT user_id, CAST(frame AS BIGINT) AS start, CAST(frame + 1 + floor(value / 30) AS BIGINT) AS stop FROM frames WHERE event_type IN ('view', 'click')), t AS (SELECT user_id, count(*) AS total FROM events GROUP BY 1)"
