@@ -7,7 +7,7 @@ from importlib import import_module
 from ..session import ship
 
 FLAGSHIP = "frame_presence_gaps"
-MODULES = ("timeline",)
+MODULES = ("timeline", "vector")
 
 
 def _all() -> dict:

@@ -10,8 +10,13 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+#: Spark 4.1 may read a union of equally partitioned inputs as partitioned alike although adaptive
+#: execution has merged their partitions differently; grouping such a union then splits keys.
+SETTINGS = {"spark.sql.unionOutputPartitioning": "false"}
+
+
 def local(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -21,10 +26,19 @@ def local(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    prepare(spark)
+    return spark
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings that right results need."""
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the executors, once per Spark context."""
+    """Set what right results need, and send this package's modules to the executors once per Spark context."""
+    prepare(spark)
     sc = spark.sparkContext
     if getattr(sc, "_tidemark_shipped", False):
         return
