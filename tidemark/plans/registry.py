@@ -7,7 +7,7 @@ from importlib import import_module
 from ..session import ship
 
 FLAGSHIP = "frame_presence_gaps"
-MODULES = ("timeline", "vector")
+MODULES = ("timeline", "vector", "rollup")
 
 
 def _all() -> dict:
