@@ -7,7 +7,7 @@ from importlib import import_module
 from ..session import ship
 
 FLAGSHIP = "frame_presence_gaps"
-MODULES = ("timeline", "vector", "rollup")
+MODULES = ("timeline", "vector", "rollup", "words")
 
 
 def _all() -> dict:
