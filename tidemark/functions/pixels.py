@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def laplacian_variance(a: np.ndarray, mask: np.ndarray | None = None) -> float:
@@ -153,11 +154,11 @@ def _decoded(pixels: pd.Series, height: pd.Series, width: pd.Series):
         yield None if p is None or h is None or len(p) != int(h) * int(w) else np.frombuffer(p, np.uint8).reshape(int(h), int(w))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sharpness(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     return pd.Series([None if a is None else laplacian_variance(a) for a in _decoded(pixels, height, width)], dtype="float64")
 
 
-@F.pandas_udf("array<long>")
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def picture_hash(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     return pd.Series([None if a is None else mean_hash(a).view(np.int64).tolist() for a in _decoded(pixels, height, width)])
