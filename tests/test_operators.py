@@ -218,3 +218,28 @@ def test_streams_equal_batch(spark, data, tmp_path):
     assert rows(table.select("user_id", "event_id")) == rows(T.latest(b, ["user_id"], "ts", "event_id").select("user_id", "event_id"))
     runs = ST.presence_runs(s.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 20.0)
     assert ST.drain(runs, "runs", str(tmp_path / "cr")).count() > 0
+
+
+def test_selection(spark, tmp_path):
+    import zipfile
+
+    from tidemark.operators import selection as C
+
+    df = spark.createDataFrame([(1, "pending"), (2, "done")], "k int, status string")
+    with pytest.raises(ValueError):
+        C.choose(df, "k")
+    with pytest.raises(ValueError):
+        C.choose(df, "k", only=[1], everything=True)
+    assert rows(C.choose(df, "k", only=[2])) == [(2, "done")]
+    with pytest.raises(KeyError):
+        C.update_point(df, "k", 9, status="x")
+    assert rows(C.update_point(df, "k", 1, status="x")) == [(1, "x"), (2, "done")]
+    nodes = spark.createDataFrame([("10", "load", {"a": "1"}), ("9", "load", {"a": "1"})], "id string, kind string, inputs map<string,string>")
+    assert {r["id"]: r["inputs"]["a"] for r in C.patch_nth(nodes, "load", 1, "a", "2").collect()} == {"9": "1", "10": "2"}
+    with pytest.raises(KeyError):
+        C.patch_nth(nodes, "load", 2, "a", "2")
+    links = spark.createDataFrame([("9", "b", "10", 0)], "id string, field string, source string, slot int")
+    assert {r["id"]: json.loads(r["json"])["inputs"] for r in C.graph_json(nodes, links).collect()} == {"10": {"a": "1"}, "9": {"a": "1", "b": '["10","0"]'}}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x/y.txt", "hello")
+    assert [tuple(r)[1:] for r in SRC.list_archives(spark, str(tmp_path)).collect()] == [("x/y.txt", 5)]

@@ -181,3 +181,30 @@ def stack(spec: Any) -> list[dict]:
     if len({x["name"] for x in out}) != len(out):
         raise ValueError("an entry is given twice")
     return out
+
+
+def list_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """path, member, size of the entries of zip archives; contents are not unpacked."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def run(batches):
+        for batch in batches:
+            rows = [(p, i.filename, i.file_size) for p, c in zip(batch["path"], batch["content"]) for i in zipfile.ZipFile(io.BytesIO(c)).infolist()]
+            yield pd.DataFrame(rows, columns=["path", "member", "size"])
+
+    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return x.select("path", "content").mapInPandas(run, "path string, member string, size long")
+
+
+def generate_frames(spark: SparkSession, streams: int, frames: int, cut: int, seed: int = 7) -> DataFrame:
+    """A seeded synthetic series per stream with one scene change at ``cut``."""
+    x = spark.range(streams * frames).select((F.col("id") / frames).cast("long").alias("stream"), (F.col("id") % frames).alias("frame"))
+    noise = F.pmod(F.xxhash64(F.lit(seed), "stream", "frame"), F.lit(1000)) / 1000.0
+    return x.withColumn("value", F.when(F.col("frame") < cut, 10.0).otherwise(90.0) + noise)
+
+
+def append_log(df: DataFrame, path: str) -> None:
+    df.write.mode("append").json(path)
