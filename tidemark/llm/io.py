@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +29,14 @@ def cut(df: DataFrame) -> DataFrame:
 def width(spark: SparkSession) -> int:
     """Partitions that a key-dealt repartition should have."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of data frames that nothing refers to any more.
+
+    Its cleaner works in the background once the driver has collected its garbage.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)

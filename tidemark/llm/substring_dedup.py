@@ -16,14 +16,19 @@ so dictionary and parse are put in order to that depth and no further: the parse
 sorted by (trigger, phrase, document), which puts the occurrences of a phrase in
 corpus order and all but the first are repeats; where one trigger has several
 phrases, the dictionary's suffixes (the strings that start in those phrases, once for
-each phrase's first document) are sorted by (string, document) in the same way.  The
-sort keys are 128-bit fingerprints of the strings instead of the strings, which keeps
-equal prefixes together; lexicographic order among different strings is not needed.
-In highly repetitive text nearly everything is settled by the parse.
+each phrase's first document) are sorted in the same way.  The sort keys are 128-bit
+fingerprints instead of the strings, which keeps equal prefixes together; lexicographic
+order among different strings is not needed.  In highly repetitive text nearly
+everything is settled by the parse.
+
+Those strings are not written one by one: an undecided phrase is cut into parts of 16,
+4 and at last 1 string starts, at fixed distances from its trigger.  Strings of a part
+share their middle, so parts whose middle nobody else has are settled as new, parts
+that occur earlier as a whole are settled as repeats, and only the rest go on.
 
 A sorted run streams through a task with one row of state, whatever its length; the
-two sorts are shuffles of fingerprints, and text is shuffled once, to meet the
-verdicts of its phrases.
+sorts are shuffles of fingerprints, and at each step the texts are shuffled once to
+meet the verdicts so far.
 
 Defined results: null text is empty; texts under ``length`` bytes lose nothing;
 repeated rows and other rows that share an id do not remove from each other; a null
@@ -42,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .io import table, width
+from .io import cut, release, table, width
 
 _DOC = np.uint64(0x9E3779B97F4A7C15)
 
@@ -57,51 +62,76 @@ def _low(g: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[:n], m[w - size : w - size + n])
 
 
-class Parse:
-    """The phrases of a block: ``start`` and ``count`` of their strings' starts, ``doc``, ``trigger``, ``name``."""
-
-    def __init__(self, b: K.Block, length: int, trigger: int):
-        self.b, self.length = b, length
-        n = len(b.data) - length + 1
-        if n <= 0:
-            self.start = self.count = self.doc = np.zeros(0, np.int64)
-            self.trigger = self.name = np.zeros(0, np.uint64)
-            return
-        gram, w = b.grams(trigger), length - trigger + 1
-        low = _low(gram, w)
-        step = np.zeros(n + 1, np.int32)
-        np.add.at(step, np.minimum(b.off[:-1], n), 1)
-        np.add.at(step, np.minimum(np.maximum(b.off[:-1], b.off[1:] - length + 1), n), -1)
-        valid = np.cumsum(step[:n]) > 0
-        new = valid.copy()
-        new[1:] &= (low[1:] != low[:-1]) | ~valid[:-1]
-        at = b.off[:-1][b.off[:-1] < n]
-        new[at] |= valid[at]
-        # where a trigger stands; a string that starts after it has the next one, even of the same hash
-        pad = np.zeros(w - 1, np.uint64)
-        top = ~_low(~np.concatenate([pad, np.where(valid, low, np.uint64(0)), pad]), w)
-        at = np.flatnonzero(top[: n - 1] == gram[: n - 1]) + 1
-        new[at] |= valid[at]
-        self.start = np.flatnonzero(new)
-        total = np.concatenate([[0], np.cumsum(valid)])
-        stop = np.concatenate([self.start[1:], [n]])
-        self.count = total[stop] - total[self.start]
-        self.doc = np.searchsorted(b.off, self.start, "right") - 1
-        self.trigger = low[self.start]
-        self.name = b.hashes(self.start, self.start + self.count - 1 + length)
-
-    def own(self, key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        return K.mix(key ^ (doc.astype(np.uint64) * _DOC))
-
-    def later(self) -> np.ndarray:
-        """Phrases that the same document has had before."""
-        return K.repeats(self.own(self.name, self.doc))[1]
-
-    def strings(self, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the strings of the marked phrases, and each one's phrase."""
+#: Sizes, in string starts, of the parts into which an undecided phrase is taken step by step.
+STEPS = (16, 4, 1)
+
+
+class Parts:
+    """Runs of string starts: ``start``, ``count``, ``doc``, their trigger's ``place``, a ``key`` that equal strings share, and a ``name``."""
+
+    def __init__(self, b: K.Block, length: int, reach: int, level: int, start, count, doc, place, key):
+        self.b, self.length, self.reach, self.level = b, length, reach, level
+        self.start, self.count, self.doc, self.place, self.key = start, count, doc, place, key
+        self.name = K.mix(b.hashes(start, start + count - 1 + length) + np.uint64(level))
+        self.mine = K.mix(self.name ^ (doc.astype(np.uint64) * _DOC))
+        self.later = K.repeats(self.mine)[1]  # parts that the same document has had before
+
+    def among(self, names: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        return np.isin(self.mine, K.mix(names ^ (owner.astype(np.uint64) * _DOC)))
+
+    def split(self, take: np.ndarray, size: int) -> Parts:
+        """The marked parts in smaller ones, cut at fixed distances from the trigger.
+
+        The key is what all strings of a whole part have in common.
+        """
         which = np.repeat(np.flatnonzero(take), self.count[take])
         first = np.cumsum(self.count[take]) - self.count[take]
-        return self.start[which] + np.arange(len(which)) - np.repeat(first, self.count[take]), which
+        at = self.start[which] + np.arange(len(which)) - np.repeat(first, self.count[take])
+        cell = (self.place[which] - at) // size
+        new = np.ones(len(at), bool)
+        new[1:] = (which[1:] != which[:-1]) | (cell[1:] != cell[:-1])
+        head = np.flatnonzero(new)
+        count = np.diff(np.append(head, len(at)))
+        start, cell, which = at[head], cell[head], which[head]
+        place = self.place[which]
+        low = place - np.minimum(cell * size + size - 1, self.reach - 1)
+        common = self.b.hashes(place - cell * size, low + self.length)  # inside every string of the part, and so inside the document
+        key = K.mix(common ^ (cell.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))
+        return Parts(self.b, self.length, self.reach, self.level + 1, start, count, self.doc[which], place, key)
+
+
+def parse(b: K.Block, length: int, trigger: int) -> Parts:
+    """The phrases of a block."""
+    n, w = len(b.data) - length + 1, length - trigger + 1
+    if n <= 0:
+        z = np.zeros(0, np.int64)
+        return Parts(b, length, w, 0, z, z, z, z, np.zeros(0, np.uint64))
+    gram = b.grams(trigger)
+    low = _low(gram, w)
+    step = np.zeros(n + 1, np.int32)
+    np.add.at(step, np.minimum(b.off[:-1], n), 1)
+    np.add.at(step, np.minimum(np.maximum(b.off[:-1], b.off[1:] - length + 1), n), -1)
+    valid = np.cumsum(step[:n]) > 0
+    new = valid.copy()
+    new[1:] &= (low[1:] != low[:-1]) | ~valid[:-1]
+    at = b.off[:-1][b.off[:-1] < n]
+    new[at] |= valid[at]
+    # where triggers stand; a string that starts after one and has the same minimum has the next one
+    pad = np.zeros(w - 1, np.uint64)
+    stands = np.flatnonzero(~_low(~np.concatenate([pad, np.where(valid, low, np.uint64(0)), pad]), w) == gram)
+    at = stands[stands < n - 1]
+    at = at[low[at + 1] == gram[at]] + 1
+    new[at] |= valid[at]
+    start = np.flatnonzero(new)
+    total = np.concatenate([[0], np.cumsum(valid)])
+    count = total[np.concatenate([start[1:], [n]])] - total[start]
+    i = np.searchsorted(stands, start + count - 1)
+    for _ in range(w):
+        wrong = gram[stands[i]] != low[start]
+        if not wrong.any():
+            break
+        i += wrong
+    return Parts(b, length, w, 0, start, count, np.searchsorted(b.off, start, "right") - 1, stands[i], low[start])
 
 
 def _ids(batch: pa.RecordBatch, b: K.Block) -> np.ndarray:
@@ -112,100 +142,101 @@ def _lists(batch: pa.RecordBatch, name: str, b: K.Block) -> tuple[np.ndarray, np
     """Values of a list column for the block's documents, and each value's document."""
     col = batch[name].slice(b.rows.start, b.n)
     sizes = np.nan_to_num(pa.compute.list_value_length(col).to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
-    return col.flatten().to_numpy(zero_copy_only=False).view(np.uint64) if len(col.flatten()) else np.zeros(0, np.uint64), np.repeat(np.arange(b.n), sizes)
+    values = col.flatten().to_numpy(zero_copy_only=False)
+    return values.view(np.uint64) if values.dtype == np.int64 else values, np.repeat(np.arange(b.n), sizes)
 
 
-def _repeats(rows: DataFrame, parts: int, key: list[str], value: str, siblings: bool) -> DataFrame:
-    """id, value, first: of rows sorted by ``key`` and id, those that follow a smaller id under their key.
+def _verdicts(rows: DataFrame, parts: int) -> DataFrame:
+    """id, name, first: occurrences of a part after its smallest id, and first ones whose key has another part.
 
-    With ``siblings``, also the first row of a key (``first``) if its leading key column has another key.
+    ``rows`` are key, name, id; a task streams over them in order and keeps one row.
     """
-    ordered = rows.repartition(parts, key[0]).sortWithinPartitions(*key, "id")
+    ordered = rows.repartition(parts, "key").sortWithinPartitions("key", "name", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last key's first row: lead, other, id, value, whether a sibling came before
+        held = None  # the last part's first row, and whether its key had a part before it
 
-        def out(ids, values, first) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(values), pa.array(first)], ["id", "value", "first"])
+        def out(ids, names, first) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(names), pa.array(first)], ["id", "name", "first"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lead, other, ids, values = (batch[c].to_numpy() for c in (*key, "id", value))
+            lead, name, ids = (batch[c].to_numpy() for c in ("key", "name", "id"))
             if held is not None:
-                lead, other, ids, values = (np.concatenate([[h], x]) for h, x in zip(held[:4], (lead, other, ids, values)))
-            new = np.concatenate([[True], (lead[1:] != lead[:-1]) | (other[1:] != other[:-1])])
+                lead, name, ids = (np.concatenate([[h], x]) for h, x in zip(held[:3], (lead, name, ids)))
+            new = np.concatenate([[True], (lead[1:] != lead[:-1]) | (name[1:] != name[:-1])])
             at = np.flatnonzero(new)
-            smallest = ids[at][np.cumsum(new) - 1]
-            again = ids > smallest
+            again = ids > ids[at][np.cumsum(new) - 1]
             if again.any():
-                yield out(ids[again], values[again], np.zeros(int(again.sum()), bool))
+                yield out(ids[again], name[again], np.zeros(int(again.sum()), bool))
             same = lead[at][1:] == lead[at][:-1]
-            before = np.concatenate([[held is not None and held[4]], same])
-            if siblings:
-                several = before[:-1] | same
-                if several.any():
-                    pick = at[:-1][several]
-                    yield out(ids[pick], values[pick], np.ones(len(pick), bool))
+            before = np.concatenate([[held is not None and held[3]], same])
+            pick = at[:-1][before[:-1] | same]
+            if len(pick):
+                yield out(ids[pick], name[pick], np.ones(len(pick), bool))
             k = at[-1]
-            held = (lead[k], other[k], ids[k], values[k], bool(before[-1]))
-        if siblings and held is not None and held[4]:
-            yield out(np.array([held[2]]), np.array([held[3]]), np.ones(1, bool))
+            held = (lead[k], name[k], ids[k], bool(before[-1]))
+        if held is not None and held[3]:
+            yield out(np.array([held[2]]), np.array([held[1]]), np.ones(1, bool))
 
-    return ordered.mapInArrow(run, "id long, value long, first boolean")
+    return ordered.mapInArrow(run, "id long, name long, first boolean")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, trigger: int = 32, with_text: bool = True) -> DataFrame:
-    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256 and, on demand, the kept bytes."""
-    parts = width(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256 and, on demand, the kept bytes.
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in K.blocks(batch["text"]):
-                p = Parse(b, length, trigger)
-                keep = ~p.later()
-                yield pa.RecordBatch.from_arrays([pa.array(p.trigger[keep].view(np.int64)), pa.array(p.name[keep].view(np.int64)), pa.array(_ids(batch, b)[p.doc[keep]])], ["trigger", "name", "id"])
-
-    parsed = texts.where("id IS NOT NULL").mapInArrow(parse, "trigger long, name long, id long")
-    verdicts = _repeats(parsed, parts, ["trigger", "name"], "name", siblings=True)
-    listed = verdicts.groupBy("id").agg(F.collect_list(F.when(~F.col("first"), F.col("value"))).alias("again"), F.collect_list(F.when(F.col("first"), F.col("value"))).alias("open"))
-    met = texts.join(listed, "id", "left")
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in K.blocks(batch["text"]):
-                names, owner = _lists(batch, "open", b)
-                p = Parse(b, length, trigger)
-                take = np.isin(p.own(p.name, p.doc), p.own(names, owner)) & ~p.later()
-                at, which = p.strings(take)
-                value, doc = b.hashes(at, at + length), p.doc[which]
-                keep = ~K.repeats(p.own(value, doc))[1]
-                yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(p.trigger[which[keep]].view(np.int64)), pa.array(_ids(batch, b)[doc[keep]])], ["string", "trigger", "id"])
+    Each step ends with its verdicts in the shared folder, so its shuffle files can go
+    before the next begins.
+    """
+    spark = docs.sparkSession
+    width_ = width(spark)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    strings = met.where("id IS NOT NULL").select("id", "text", "again", "open").mapInArrow(suffixes, "string long, trigger long, id long")
-    known = _repeats(strings, parts, ["string", "trigger"], "string", siblings=False).groupBy("id").agg(F.collect_list("value").alias("known"))
+    def walk(batch: pa.RecordBatch, b: K.Block, steps: int) -> Iterator[tuple[Parts, np.ndarray]]:
+        """Parts by level and which of them are repeats, as far as the verdicts of earlier steps go."""
+        p = parse(b, length, trigger)
+        for level in range(steps + 1):
+            again = p.among(*_lists(batch, "again", b)) if "again" in batch.schema.names else np.zeros(len(p.start), bool)
+            yield p, p.later | again
+            if level < steps:
+                p = p.split(p.among(*_lists(batch, "open", b)) & ~p.later & ~again, STEPS[level])
+
+    def step(number: int, known: DataFrame | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for b in K.blocks(batch["text"]):
+                    for p, _ in walk(batch, b, number):
+                        pass
+                    keep = ~p.later
+                    yield pa.RecordBatch.from_arrays([pa.array(p.key[keep].view(np.int64)), pa.array(p.name[keep].view(np.int64)), pa.array(_ids(batch, b)[p.doc[keep]])], ["key", "name", "id"])
+
+        rows = texts.where("id IS NOT NULL")
+        if known is not None:
+            rows = rows.join(known.where("size(open) > 0"), "id").select("id", "text", "again", "open")
+        found = _verdicts(rows.mapInArrow(run, "key long, name long, id long"), width_)
+        return cut(found.groupBy("id").agg(F.collect_list(F.when(~F.col("first"), F.col("name"))).alias("again"), F.collect_list(F.when(F.col("first"), F.col("name"))).alias("open")))
+
+    known: DataFrame | None = None
+    for number in range(len(STEPS) + 1):
+        new = step(number, known)
+        if known is not None:
+            new = known.union(new).groupBy("id").agg(F.flatten(F.collect_list("again")).alias("again"), F.flatten(F.collect_list("open")).alias("open"))
+        known = new
+        release(spark)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in K.blocks(batch["text"]):
-                p = Parse(b, length, trigger)
-                mine = p.own(p.name, p.doc)
-                later = p.later()
-                lost = later | np.isin(mine, p.own(*_lists(batch, "again", b)))
+                change = np.zeros(len(b.data) + 1, np.int32)
+                for p, lost in walk(batch, b, len(STEPS)):
+                    np.add.at(change, p.start[lost], 1)
+                    np.add.at(change, p.start[lost] + p.count[lost] - 1 + length, -1)
+                covered = np.cumsum(change[:-1]) > 0
                 null = pa.compute.is_null(batch["id"].slice(b.rows.start, b.n)).to_numpy(zero_copy_only=False)
-                at, which = p.strings(np.isin(mine, p.own(*_lists(batch, "open", b))) & ~lost)
-                value = p.own(b.hashes(at, at + length), p.doc[which])
-                gone = K.repeats(value)[1] | np.isin(value, p.own(*_lists(batch, "known", b)))
-                step = np.zeros(len(b.data) + 1, np.int32)
-                np.add.at(step, p.start[lost], 1)
-                np.add.at(step, p.start[lost] + p.count[lost] - 1 + length, -1)
-                np.add.at(step, at[gone], 1)
-                np.add.at(step, at[gone] + length, -1)
-                covered = np.cumsum(step[:-1]) > 0
                 if null.any():
                     covered &= ~null[np.repeat(np.arange(b.n), np.diff(b.off))]
-                start, _, first = b.runs(covered)
+                first = b.runs(covered)[2]
                 removed = np.concatenate([[0], np.cumsum(covered)])
                 left = [b.data[x:y][~covered[x:y]].tobytes() for x, y in zip(b.off[:-1], b.off[1:])]
                 cols = [batch["id"].slice(b.rows.start, b.n), pa.array(np.diff(b.off).astype(np.int64)), pa.array((removed[b.off[1:]] - removed[b.off[:-1]]).astype(np.int64)), pa.array(np.diff(first).astype(np.int64)), pa.array([hashlib.sha256(x).hexdigest() for x in left])]
@@ -216,7 +247,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return met.join(known, "id", "left").select("id", "text", "again", "open", "known").mapInArrow(cut_out, schema).withColumnRenamed("id", id_col)
+    return texts.join(known, "id", "left").select("id", "text", "again", "open").mapInArrow(cut_out, schema).withColumnRenamed("id", id_col)
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
