@@ -15,7 +15,7 @@ a fixed bound.  Documents are never shuffled.
 
 Defined results: null and empty texts are clean; items of fewer than ``n`` words are
 too short to recognise and match nothing; equal items are scored each; repeated rows
-are judged each; empty tables give clean documents or an empty result; columns other
+are judged each; a row with a null id gets no verdict (it counts as clean); empty tables give clean documents or an empty result; columns other
 than ids and texts are ignored.
 """
 
