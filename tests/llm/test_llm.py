@@ -127,6 +127,32 @@ def test_near_duplicates_dense_region(spark, monkeypatch):
     assert got == brute_near(rows, 3, 85)
 
 
+def star(seed, n, length=240, swaps=6):
+    """A base and variants that are near to it but not to each other."""
+    r = random.Random(seed)
+    base = words(seed, length)
+    rows = [(1, " ".join(base), "en", "s")]
+    for i in range(2, n + 1):
+        v = list(base)
+        for at in r.sample(range(length), swaps):
+            v[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(v), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("last", [False, True])
+def test_near_duplicates_star_in_large_regions(spark, monkeypatch, last):
+    """Variants that only their base links fall apart at depth; regions above the limit are searched whole."""
+    monkeypatch.setattr(near_dedup, "REGION", 8)
+    rows = star(11, 120) + [(1000 + i, t, g, s) for i, t, g, s in star(12, 40)]
+    if last:
+        rows = [(5000 - i, t, g, s) for i, t, g, s in rows]
+    want = brute_near(rows, 3, 85)
+    assert len({c for _, c in want.values()}) == 2
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in near_dedup.near_duplicates(table(spark, rows), k=3, percent=85).collect()}
+    assert got == want
+
+
 def test_near_duplicates_odd(odd, none):
     got = by_id(near_dedup.near_duplicates(odd))
     assert {r["component_id"] for i in (1, 2, 3) for r in got[i]} == {1} and [r["kept"] for r in got[2]] == [False]

@@ -4,16 +4,20 @@
     form one class, so copies are never paired with each other.
 2.  A class has a signature of ``PERMS`` one-byte minima.  Each tree of the forest
     sorts signatures in its own order of coordinates; neighbours there share a long
-    prefix.  A region is a shared prefix of ``DEPTHS[0]`` coordinates; regions of more
-    than ``REGION`` members are taken deeper, level by level, so the depth follows the
-    density.  What still is larger at the deepest level is dealt into blocks, and
-    everything in it is also compared with the region's smallest id.
+    prefix.  A region is a shared prefix of ``DEPTHS[0]`` coordinates.
 3.  Inside a region signatures are compared in numpy.  First each member proposes its
     most similar partner and the best connected one; proposals are confirmed on full
-    sets and joined into components.  Then the members with a pair between *different*
-    components whose signatures are within four standard errors of the threshold meet
-    again with their full sets and decide those pairs inside the region, which leaves
-    no candidate of the forest undecided and never writes out the pairs of a group.
+    sets and joined into components.  For this step alone, regions of more than
+    ``REGION`` members are taken deeper, level by level, and what still is larger at the
+    deepest level is dealt into blocks with the region's smallest id; this finds most
+    links of a dense group cheaply and need not find all.
+4.  Then the members with a pair between *different* components whose signatures are
+    within four standard errors of the threshold meet again with their full sets and
+    decide those pairs inside the region.  A region of more than ``REGION`` members is
+    searched whole for this: everybody outside its largest component meets every
+    member, in pairs of blocks.  That leaves no candidate of the forest undecided and
+    never writes out the pairs of a group; only a region whose members stay apart costs
+    the square of its size.
 
 At similarity s a pair shares a region in none of the trees with probability
 ``(1 - s**4) ** TREES``: 2e-8 at 0.85 and 3e-6 at 0.8.
@@ -110,7 +114,10 @@ def _prefix(tree: int, depth: int) -> F.Column:
 
 
 def _regions(classes: DataFrame) -> DataFrame:
-    """rep, region, tree, level of every class in a region of at least two members."""
+    """rep, region, tree, level of every class in a region of at least two members.
+
+    Level -1 are the regions of the first depth that are too large to be compared at once.
+    """
     kept = None
     rows = None
     for level, depth in enumerate(DEPTHS):
@@ -125,6 +132,8 @@ def _regions(classes: DataFrame) -> DataFrame:
         small = rows.where(F.col("size") <= REGION).select("rep", "tree", "region", F.lit(level).alias("level"))
         kept = small if kept is None else kept.union(small)
         rows = rows.where(F.col("size") > REGION)
+        if level == 0:
+            kept = kept.union(rows.select("rep", "tree", "region", F.lit(-1).alias("level")))
         if not rows.limit(1).count():
             return kept
         rows = rows if level + 1 == len(DEPTHS) else rows.select("rep", "tree", "region")
@@ -163,8 +172,8 @@ def _groups(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], lists: t
         yield joined()
 
 
-def _alike(sig: np.ndarray, rows: slice) -> np.ndarray:
-    return (sig[rows, None, :] == sig[None, :, :]).sum(2, dtype=np.uint8 if PERMS < 256 else np.int32)
+def _alike(sig: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return (sig[:, None, :] == other[None, :, :]).sum(2, dtype=np.uint8 if PERMS < 256 else np.int32)
 
 
 def _proposals(rows: DataFrame, percent: int, least: int) -> DataFrame:
@@ -178,7 +187,7 @@ def _proposals(rows: DataFrame, percent: int, least: int) -> DataFrame:
             degree, best = np.zeros(m, np.int64), np.zeros(m, np.int64)
             like = np.zeros((m, m), np.uint8)
             for i in range(0, m, step):
-                like[i : i + step] = _alike(sig, slice(i, i + step))
+                like[i : i + step] = _alike(sig[i : i + step], sig)
             fits = 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
             like[~fits | (rep[:, None] == rep[None, :])] = 0
             near = like >= least
@@ -198,28 +207,56 @@ def _proposals(rows: DataFrame, percent: int, least: int) -> DataFrame:
 def _near(g: dict[str, np.ndarray], percent: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Places and likeness of a region's pairs in different components that come near the threshold.
 
-    A pair that shares several top regions belongs to the first of them only.
+    Where a region has sides 1 and 2, only pairs between them count.  A pair that shares
+    several top regions belongs to the first of them only, as each is searched whole.
     """
-    rep, n, sig, comp, m = g["rep"], g["n"], g["sig"], g["component"], len(g["rep"])
-    if m < 2 or (comp == comp[0]).all():
+    rep, n, sig, comp, side, tree = g["rep"], g["n"], g["sig"], g["component"], g["side"], int(g["tree"][0])
+    if (comp == comp[0]).all():
         return
-    tree, settled = int(g["tree"][0]), int(g["settled"][0])
-    step = max(1, (1 << 22) // (m * PERMS))
-    for i in range(0, m, step):
-        like = _alike(sig, slice(i, i + step))
-        x, y = np.nonzero((like >= least) & (comp[i : i + step, None] != comp[None, :]) & (rep[i : i + step, None] < rep[None, :]))
+    both = side[0] > 0
+    left, right = np.flatnonzero(side < 2), np.flatnonzero(side != 1)
+    if not len(left) or not len(right):
+        return
+    step = max(1, (1 << 22) // (len(right) * PERMS))
+    for i in range(0, len(left), step):
+        rows = left[i : i + step]
+        like = _alike(sig[rows], sig[right])
+        open_ = (like >= least) & (comp[rows, None] != comp[None, right])
+        if not both:
+            open_ &= rep[rows, None] < rep[None, right]
+        x, y = np.nonzero(open_)
         like = like[x, y]
-        x += i
+        x, y = rows[x], right[y]
         keep = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
         for t in range(tree):
-            if settled >> t & 1:
-                own = ORDERS[t][:4]
-                keep[keep] = (sig[x[keep]][:, own] != sig[y[keep]][:, own]).any(1)
+            own = ORDERS[t][: DEPTHS[0]]
+            keep[keep] = (sig[x[keep]][:, own] != sig[y[keep]][:, own]).any(1)
         if keep.any():
             yield x[keep], y[keep], like[keep]
 
 
-_OPEN = ("region", "rep", "n", "component", "tree", "settled")
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Large regions as pairs of blocks in which everybody outside a region's largest component meets every member.
+
+    Blocks of outsiders come first, then those of the largest component; blocks p <= q
+    meet if p is one of outsiders.  Regions of one component are left out.
+    """
+    sizes = rows.groupBy("region", "component").agg(F.count("*").alias("size"))
+    sizes = sizes.groupBy("region").agg(F.sum("size").alias("size"), F.max("size").alias("most"), F.max_by("component", F.struct("size", "component")).alias("top")).where("most < size")
+    half = max(1, REGION // 2)
+    blocks = sizes.select("region", "top", F.ceil((F.col("size") - F.col("most")) / half).alias("out"), F.ceil(F.col("most") / half).alias("in"))
+    salted = F.xxhash64("region", "rep")
+    outside = F.col("component") != F.col("top")
+    rows = rows.join(blocks, "region").withColumn("block", F.when(outside, F.pmod(salted, F.col("out"))).otherwise(F.col("out") + F.pmod(salted, F.col("in"))))
+    lower = F.transform(F.sequence(F.lit(0).cast("long"), F.least(F.col("block"), F.col("out") - 1)), lambda p: F.struct(p.alias("p"), F.col("block").alias("q")))
+    upper = F.transform(F.sequence(F.col("block"), F.col("out") + F.col("in") - 1), lambda q: F.struct(F.col("block").alias("p"), q.alias("q")))
+    meets = F.when(outside, F.array_union(lower, upper)).otherwise(lower)
+    rows = rows.withColumn("meet", F.explode(meets))
+    side = F.when(F.col("meet.p") == F.col("meet.q"), 0).when(F.col("block") == F.col("meet.p"), 1).otherwise(2)
+    return rows.withColumn("side", side).withColumn("region", F.xxhash64("region", "meet.p", "meet.q")).drop("top", "out", "in", "block", "meet")
+
+
+_OPEN = ("region", "rep", "n", "component", "tree", "side")
 
 
 def _undecided(rows: DataFrame, percent: int, least: int) -> DataFrame:
@@ -255,6 +292,9 @@ def _settled(rows: DataFrame, percent: int, least: int) -> DataFrame:
             x, y, like = (np.concatenate(c) for c in zip(*found))
             comp, rep = g["component"].tolist(), g["rep"].tolist()
             sets = [np.frombuffer(v, np.uint64) for v in g["grams"]]
+            open_ = np.bincount(x, minlength=len(sets))
+            rows: dict[int, np.ndarray] = {}  # whom a member with many open pairs is alike enough
+            size, first, flat = np.array([len(v) for v in sets]), None, None
             up: dict[int, int] = {}
 
             def top(c: int) -> int:
@@ -262,11 +302,25 @@ def _settled(rows: DataFrame, percent: int, least: int) -> DataFrame:
                     c = up[c]
                 return c
 
+            def alike(a: int, b: int) -> bool:
+                nonlocal first, flat
+                if open_[a] < 16:
+                    return _alike_enough(sets[a], sets[b], percent)
+                if a not in rows:
+                    if flat is None:
+                        flat = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+                        first = np.concatenate([[0], np.cumsum(size)])
+                    mine = np.zeros(int(flat.max()) + 1, bool)
+                    mine[flat[first[a] : first[a + 1]]] = True
+                    both = np.add.reduceat(mine[flat], first[:-1], dtype=np.int64)
+                    rows[a] = 100 * both >= percent * (size + size[a] - both)
+                return bool(rows[a][b])
+
             links = []
             for i in np.argsort(-like.astype(np.int64), kind="stable").tolist():
                 a, b = int(x[i]), int(y[i])
                 p, q = top(comp[a]), top(comp[b])
-                if p != q and _alike_enough(sets[a], sets[b], percent):
+                if p != q and alike(a, b):
                     up[max(p, q)] = min(p, q)
                     links.append((rep[a], rep[b]))
             if links:
@@ -303,23 +357,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = cut(_regions(nodes))
     least = int(np.floor(PERMS * (percent / 100 - 4 * np.sqrt(percent / 100 * (1 - percent / 100) / PERMS))))
     full = members.join(nodes, "rep")
-    proposed = cut(_proposals(full.repartition(parts, "region").sortWithinPartitions("region", "rep"), percent, least).groupBy("a", "kind").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b")))
+    proposed = cut(_proposals(full.where("level >= 0").repartition(parts, "region").sortWithinPartitions("region", "rep"), percent, least).groupBy("a", "kind").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b")))
     pairs = proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     some = proposed.select(F.col("a").alias("id")).distinct()
     ids = classes.join(some.withColumnRenamed("id", "h1"), "h1", "left_semi").select("id").distinct()
     sets = cut(_sets(texts.join(ids, "id", "left_semi"), k))
     links = cut(_confirmed(pairs, sets, percent))
     labels = connected_components(links, cut)
-    settled = members.where("level = 0").groupBy("rep").agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("settled"))
-    open_ = (
-        full.join(some.withColumnRenamed("id", "rep"), "rep", "left_semi")
-        .join(settled, "rep", "left")
-        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("region", "tree", "rep", "n", "sig", F.coalesce("component", "rep").alias("component"), F.coalesce("settled", F.lit(0)).alias("settled"))
-    )
+    # without a proposal in a region that was compared at once nobody has a candidate there
+    open_ = full.where("level = 0").join(some.withColumnRenamed("id", "rep"), "rep", "left_semi").withColumn("side", F.lit(0))
+    large = full.where("level = -1")
+    by_rep = labels.withColumnRenamed("node", "rep")
+    fields = ["region", "tree", "rep", "n", "sig", "component", "side"]
+    open_ = open_.join(by_rep, "rep", "left").withColumn("component", F.coalesce("component", "rep")).select(fields)
+    dense = large.limit(1).count() > 0
+    if dense:
+        large = cut(large.join(by_rep, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+        open_ = open_.union(_dealt(large).select(fields))
     open_ = cut(open_)
     sort = ["region", "rep"]
     part = _undecided(open_.repartition(parts, "region").sortWithinPartitions(*sort), percent, least)
+    if dense:
+        part = cut(part)
+        more = classes.join(part.select(F.col("rep").alias("h1")).distinct(), "h1", "left_semi").join(some.withColumnRenamed("id", "h1"), "h1", "left_anti").select("id").distinct()
+        if more.limit(1).count():
+            sets = sets.union(cut(_sets(texts.join(more, "id", "left_semi"), k)))
     part = open_.join(part, sort).join(sets.dropDuplicates(["id"]).withColumnRenamed("id", "rep"), "rep")
     links2 = cut(_settled(part.repartition(parts, "region").sortWithinPartitions(*sort), percent, least))
     labels2 = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links2), cut)
