@@ -153,6 +153,17 @@ def test_near_duplicates_star_in_large_regions(spark, monkeypatch, last):
     assert got == want
 
 
+def test_near_duplicates_star_in_blocks(spark, monkeypatch):
+    """A group that no depth divides is dealt into blocks; members that only their base links stay linked."""
+    monkeypatch.setattr(near_dedup, "REGION", 8)
+    monkeypatch.setattr(near_dedup, "DEPTHS", (4,))
+    rows = [(500 - i, t, g, s) for i, t, g, s in star(13, 150)]
+    want = brute_near(rows, 3, 85)
+    assert len({c for _, c in want.values()}) == 1
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in near_dedup.near_duplicates(table(spark, rows), k=3, percent=85).collect()}
+    assert got == want
+
+
 def test_near_duplicates_odd(odd, none):
     got = by_id(near_dedup.near_duplicates(odd))
     assert {r["component_id"] for i in (1, 2, 3) for r in got[i]} == {1} and [r["kept"] for r in got[2]] == [False]

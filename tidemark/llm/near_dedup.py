@@ -138,7 +138,7 @@ def _regions(classes: DataFrame) -> DataFrame:
             return kept
         rows = rows if level + 1 == len(DEPTHS) else rows.select("rep", "tree", "region")
     blocks = F.ceil(F.col("size") / REGION)
-    block = F.xxhash64("region", F.pmod(F.xxhash64("rep"), blocks))
+    block = F.xxhash64("region", F.pmod(F.xxhash64("region", "rep"), blocks))
     low = rows.select(F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("i"), "region", "low", "tree").distinct().select(F.col("low").alias("rep"), "tree", F.xxhash64("region", "i").alias("region"))
     deep = rows.select("rep", "tree", block.alias("region")).union(low).distinct()
     return kept.union(deep.select("rep", "tree", "region", F.lit(len(DEPTHS)).alias("level")))
