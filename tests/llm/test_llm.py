@@ -164,6 +164,28 @@ def test_near_duplicates_star_in_blocks(spark, monkeypatch):
     assert got == want
 
 
+def test_near_duplicates_meet_every_candidate_once(spark, monkeypatch):
+    """Every pair that shares a tree's first coordinates is met in one tree, whatever the sizes of its regions."""
+    monkeypatch.setattr(near_dedup, "REGION", 8)
+    r = np.random.default_rng(3)
+    sig = np.repeat(r.integers(0, 256, (4, near_dedup.PERMS)), [90, 20, 6, 1], axis=0).astype(np.uint8)
+    other = r.random(sig.shape) < r.choice([0.02, 0.1, 0.2], (len(sig), 1))
+    sig[other] = r.integers(0, 256, int(other.sum()))
+    nodes = spark.createDataFrame([(i, 100, s.tobytes()) for i, s in enumerate(sig)], "rep long, n long, sig binary").cache()
+    full = near_dedup._regions(nodes).join(nodes, "rep").withColumn("component", F.when(F.col("rep") % 3 == 0, -1).otherwise(F.col("rep"))).withColumn("side", F.lit(0))
+    fields = list(near_dedup._OPEN) + ["sig"]
+    rows = full.where("level = 0").select(fields).union(near_dedup._dealt(full.where("level = -1").drop("side")).select(fields)).toPandas()
+    got = collections.Counter()
+    for _, g in rows.groupby("region"):
+        g = {c: g[c].to_numpy() for c in fields[:-1]} | {"sig": np.stack([np.frombuffer(s, np.uint8) for s in g["sig"]])}
+        for x, y, _ in near_dedup._near(g, 85, 92):
+            got.update(tuple(sorted(p)) for p in zip(g["rep"][x].tolist(), g["rep"][y].tolist()))
+    same = sig[:, None, :] == sig[None, :, :]
+    meet = np.any([same[:, :, 4 * t : 4 * t + 4].all(2) for t in range(near_dedup.TREES)], axis=0) & (same.sum(2) >= 92)
+    want = {(i, j) for i, j in np.argwhere(meet).tolist() if i < j and not i % 3 == j % 3 == 0}
+    assert len(want) > 1000 and got == dict.fromkeys(want, 1)
+
+
 def test_near_duplicates_odd(odd, none):
     got = by_id(near_dedup.near_duplicates(odd))
     assert {r["component_id"] for i in (1, 2, 3) for r in got[i]} == {1} and [r["kept"] for r in got[2]] == [False]
