@@ -265,6 +265,19 @@ def test_packing_round_trip(spark, data, odd, none):
     assert packing.pack(none, path).count() == 0 and packing.pack(odd, path).where("doc_id IS NULL").count() == 2
 
 
+def test_packing_marks_sentences_of_every_document():
+    tok = packing.PieceTokenizer(packing.default_tokenizer())
+    plain = "It ends here. Does it?\nYes!! It's 3.5 x... and on"
+    # the same text by the whole-text encoder, which a quote from outside Latin calls
+    one = next(kernel.blocks(pa.array([plain, plain + " \u201cq\u201d"])))
+    ids, first, close = tok.encode(one)
+    n = first[1]
+    assert close[:n].sum() == 6 and (ids[n : 2 * n] == ids[:n]).all() and (close[n : 2 * n] == close[:n]).all() and not close[2 * n :].any()
+    for text, ends in (("Привет. Как дела?", ["Привет.", "Привет. Как дела?"]), ("你好。再见！", ["你好。", "你好。再见！"]), ("कैसे हो। ठीक", ["कैसे हो।"]), ("كيف حالك؟ نعم", ["كيف حالك؟"]), ("\u00a0a.\n<|endoftext|>b!", ["\u00a0a.", "\u00a0a.\n", "\u00a0a.\n<|endoftext|>b!"])):
+        ids, _, close = tok.encode(next(kernel.blocks(pa.array([text]))))
+        assert [tok.own.decode(ids[: i + 1].tolist(), skip_special_tokens=False) for i in np.flatnonzero(close)] == ends
+
+
 def test_packing_is_optimal():
     r = np.random.default_rng(0)
     for _ in range(20):

@@ -12,7 +12,8 @@ padded and are looked up one by one.
 Tokens come from a vocabulary file by the tokenizers library.  Blocks of text are
 split into the vocabulary's pre-token pieces on bytes, each distinct piece is
 encoded once, and ids are gathered; documents with characters that the byte
-classes do not know (or with a special token's string) are encoded whole.
+classes do not know (or with a special token's string) are encoded whole.  In either
+case a sentence ends with a piece that ends in one of ``STOPS``.
 
 Nothing is shuffled and state is bounded: a partition is packed in runs of about
 ``run_tokens``, and what follows the settled cuts is carried into the next run.
@@ -52,14 +53,21 @@ _STRANGE[0xC0:] = True
 _STRANGE[[0xC3, 0xC4, 0xC5]] = False
 
 
+#: What ends a sentence: the line feed and full stops, question and exclamation marks of many scripts.
+STOPS = tuple(".!?\n\u2026\u203c\u203d\u2047\u2048\u2049\u3002\uff0e\uff61\uff01\uff1f\u061f\u06d4\u037e\u0589\u055c\u055e\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u17d4\u17d5\u2028\u2029")
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: The vocabulary's character for each byte.
+_CHAR_OF = {x: chr(x) for x in _PLAIN} | {x: chr(256 + i) for i, x in enumerate(x for x in range(256) if x not in _PLAIN)}
+_STOPS = tuple("".join(_CHAR_OF[x] for x in c.encode()) for c in STOPS)
+
+
 def _ranked(path: str):
     """The vocabulary file's merges as a function of one piece's bytes, if its ids are in merge order; else None."""
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    byte_of = {chr(x): x for x in plain} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in plain)}
+    byte_of = {c: x for x, c in _CHAR_OF.items()}
     as_bytes = lambda t: bytes(byte_of[c] for c in t)
     vocab = model["vocab"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -87,6 +95,19 @@ class PieceTokenizer:
     def whole(self, text: str) -> list[int]:
         return self.own.encode(text, add_special_tokens=False).ids
 
+    def marked(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text encoded whole, and marks of ids that end a sentence."""
+        got = self.own.encode(text, add_special_tokens=False)
+        words, tokens = got.word_ids, got.tokens
+        close = np.zeros(len(tokens), bool)
+        tail = ""  # of the piece so far; a stop has at most three bytes, which may be several tokens
+        for i, token in enumerate(tokens):
+            tail = (tail + token)[-3:]
+            if i + 1 == len(tokens) or words[i] != words[i + 1] or words[i] is None:
+                close[i] = tail.endswith(_STOPS)
+                tail = ""
+        return np.array(got.ids, np.uint32), close
+
     def pieces(self, b: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the pre-token pieces and the per-document first index."""
         d, n = b.data, len(b.data)
@@ -163,9 +184,9 @@ class PieceTokenizer:
             parts, marks, counts = [], [], []
             for i in range(b.n):
                 if odd[i]:
-                    got = np.array(self.whole(raw[b.off[i] : b.off[i + 1]].decode()), np.uint32)
+                    got, ends = self.marked(raw[b.off[i] : b.off[i + 1]].decode())
                     parts.append(got)
-                    marks.append(np.zeros(len(got), bool))
+                    marks.append(ends)
                 else:
                     parts.append(tokens[doc_first[i] : doc_first[i + 1]])
                     marks.append(close[doc_first[i] : doc_first[i + 1]])
