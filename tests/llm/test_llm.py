@@ -356,6 +356,46 @@ def test_license_scan(odd, none, spark):
     assert license_scan.scan(odd).count() == 13 and license_scan.scan(none).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+
+
+def test_license_scan_wrapped(spark):
+    commented = lambda t, c: "".join(f"{c} {x}".rstrip() + "\n" for x in t.splitlines())
+    texts = [MIT, BSD, GPL, commented(MIT, " *"), commented(BSD, "#"), commented(GPL, "//"), MIT.replace("\n", "\r\n"), "All  rights reserved.", "ALL RIGHTS\u00a0RESERVED", "x\nAll\trights\nreserved\ny", "Licensed under the MIT.\nLicense", "all rights\n\nreserved", "we never said all rights reserved", "Note_All rights reserved.\nLicensed under the\nMIT license\nmore"]
+    got = [r["license"] for r in license_scan.scan(table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).orderBy("doc_id").collect()]
+    assert got == ["MIT", "BSD-2-Clause", "GPL-3.0", "MIT", "BSD-2-Clause", "GPL-3.0", "MIT", "proprietary", "proprietary", "proprietary", None, None, None, "MIT"]
+
+
 def test_language_id_held_out(spark):
     data = "/root/testdata/sf0.01"
     got = queries.queries()["op3_language_id"](spark, data).join(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").toPandas()

@@ -1,11 +1,13 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is split into sentences (line ends, and blanks after ``.``, ``!`` or ``?``);
-each is normalised to lower-case words and looked up among known licence sentences.
+A text is normalised to lower-case words, with marks where a sentence must end (blank
+lines, and blanks or a line end after ``.``, ``!`` or ``?``) and where it may (other line
+ends).  Known licence sentences are those that begin and end at marks; they may run on
+over line ends, with comment signs there or not, but not over a sentence's end.
 The identifiers found, in text order, are matched against ordered rules: a rule holds
 if its identifiers occur in that order with anything between them, and the first rule
 that holds names the licence.  Texts without any of ``KEYWORDS`` (every known sentence
-has one) skip the split.  Nothing is shuffled and no Python runs on the executors.
+has one) skip that.  Nothing is shuffled and no Python runs on the executors.
 
 Defined results: null and empty texts have no sentences and no licence; a sentence
 that occurs again is listed again; repeated rows are scanned each; an empty table
@@ -72,13 +74,16 @@ RULES = (
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences in text order."""
     known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    parts = F.split(F.regexp_replace(text, r"([.!?])[ \t\r\f\x0B]+", "$1\n"), "\n")
-    names = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    # the shortest known sentence has 19 characters; the map is asked for nothing shorter
-    least = min(map(len, SENTENCES))
-    ids = F.transform(F.filter(names, lambda s: F.length(s) >= least), lambda s: F.try_element_at(known, s))
-    found = F.filter(ids, lambda s: s.isNotNull())
-    return F.when(F.lower(text).rlike("|".join(KEYWORDS)), found).otherwise(F.array().cast("array<string>"))
+    # | ends a sentence, _ is the end of a line inside one
+    marked = F.regexp_replace(F.lower(text), r"[|_]", " ")
+    for pattern, mark in ((r"\r\n?", "\n"), (r"([.!?])[ \t\f\x0B]+|[.!?][^a-z0-9\n]*\n|\n[^a-z0-9]*\n", "|"), (r"\n", "_"), (r"[^a-z0-9|_]+", " "), (r"[ _]*[|][ _|]*", "|"), (r" ?_ ?", "_"), (r"^[ _]+|[ _]+$", "")):
+        marked = F.regexp_replace(marked, pattern, mark)
+    # longest first, as one may begin another
+    names = "|".join(s.replace(" ", "[ _]") for s in sorted(SENTENCES, key=len, reverse=True))
+    found = F.regexp_extract_all(marked, F.lit(f"(?<![^|_])({names})(?![^|_])"), 1)
+    ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, "_", " ")))
+    keyword = "|".join(KEYWORDS).replace(" ", "[^a-z0-9]+")
+    return F.when(F.lower(text).rlike(keyword), ids).otherwise(F.array().cast("array<string>"))
 
 
 def rule_column(sequence: Column, value: int) -> Column:
