@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
-
+from pyspark.sql import DataFrame, SparkSession
 
 #: Spark 4.1 may read a union of equally partitioned inputs as partitioned alike although adaptive
 #: execution has merged their partitions differently; grouping such a union then splits keys.
-SETTINGS = {"spark.sql.unionOutputPartitioning": "false"}
+#: Arrow batches are bounded by bytes as well as rows, as rows may be very long.
+SETTINGS = {"spark.sql.unionOutputPartitioning": "false", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+#: Spark drops the shuffle files of an action as soon as it has ended, where this is set.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -36,6 +40,34 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut by a reliable checkpoint; its shuffle files go at once.
+
+    The folder is ``spark.checkpoint.dir``.  A temporary one is made only where driver
+    and executors are one process (``local`` masters); elsewhere a missing setting is
+    an error, as executors would not share what each has written.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="tidemark-checkpoints-")
+            atexit.register(shutil.rmtree, folder, True)
+        sc.setCheckpointDir(folder)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+
+
 def ship(spark: SparkSession) -> None:
     """Set what right results need, and send this package's modules to the executors once per Spark context."""
     prepare(spark)
