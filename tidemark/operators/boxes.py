@@ -42,23 +42,23 @@ def smallest_container(points: DataFrame, boxes: DataFrame, keys: Sequence[str],
 
 def suppress(df: DataFrame, keys: Sequence[str], box: str, limit: float = 0.55) -> DataFrame:
     """Greedy non-maximum suppression by score (then id) in each group; the state is the kept boxes."""
-    n = len(keys)
-
-    def step(state, row):
-        kept = state or []
-        x0, y0, x1, y1 = row[n + 1 : n + 5]
-        a = max(0.0, x1 - x0) * max(0.0, y1 - y0)
-        for k in kept:
-            both = max(0.0, min(x1, k[2]) - max(x0, k[0])) * max(0.0, min(y1, k[3]) - max(y0, k[1]))
-            whole = a + k[4] - both
-            if whole > 0 and both / whole > limit:
-                return kept, []
-        kept.append((x0, y0, x1, y1, a))
-        return kept, [row[: n + 1]]
-
-    types = dict(df.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in (*keys, box))
-    return fold(df.withColumn("__rank", -F.col("score")), keys, ["__rank", box], step, [*keys, box, "x0", "y0", "x1", "y1", "__rank"], schema)
+
+    def step(kept, cols):
+        kept = kept or []
+        out = []
+        for name, x0, y0, x1, y1 in zip(*cols):
+            a = max(0.0, x1 - x0) * max(0.0, y1 - y0)
+            for k in kept:
+                both = max(0.0, min(x1, k[2]) - max(x0, k[0])) * max(0.0, min(y1, k[3]) - max(y0, k[1]))
+                whole = a + k[4] - both
+                if whole > 0 and both / whole > limit:
+                    break
+            else:
+                kept.append((x0, y0, x1, y1, a))
+                out.append(name)
+        return kept, [out]
+
+    return fold(df.withColumn("__rank", -F.col("score")), keys, ["__rank", box], step, [box, "x0", "y0", "x1", "y1"], f"`{box}` {dict(df.dtypes)[box]}")
 
 
 def square_crop(width: Column, height: Column, margin: float, lift: float, least: int) -> Column:

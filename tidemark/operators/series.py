@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 
 def over(keys: Sequence[str], order: Sequence[str]):
@@ -138,59 +141,87 @@ def held_out(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return df.withColumn(name, F.when((i > 0) & (i % share == 0), "holdout").otherwise("train"))
 
 
-def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Callable[[object, tuple], tuple[object, list[tuple]]], columns: Sequence[str], schema: str, finish: Callable[[object, tuple], list[tuple]] | None = None) -> DataFrame:
+def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Callable[[object, list[list]], tuple[object, list[list] | None]], columns: Sequence[str], schema: str, finish: Callable[[object], list[list] | None] | None = None) -> DataFrame:
     """An order-dependent fold of each series, streaming over sorted partitions.
 
-    ``step(state, row)`` gets None as the first state and returns the next state and
-    output tuples; ``finish(state, key)`` ends a series.  A task holds one state and
-    one batch, however long a series is.
+    ``step(state, columns)`` gets the state (None at a series' begin) and the values of
+    ``columns`` of a stretch of one series as lists; it returns the next state and the
+    columns of ``schema`` as lists, of any one length, or None.  ``finish(state)`` ends
+    a series in the same way.  Keys stand before the columns of ``schema`` in the result
+    and are carried as they came, nulls (which are one series) and all; integers stay
+    exact.  A task holds one state and one Arrow batch, however long a series is.
     """
-    need = [*keys, *[c for c in columns if c not in keys]]
     n = len(keys)
-    ordered = df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, *order).select(*need)
-    names = [c.split()[0] for c in schema.split(",")]
+    ordered = df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, *order).select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), *columns)
+    more = StructType.fromDDL(schema)
+    out = StructType([*(StructField(k, df.schema[k].dataType) for k in keys), *more])
+    types = [to_arrow_type(f.dataType) for f in more]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, state = None, None
-        for batch in batches:
-            out: list[tuple] = []
-            for row in batch.itertuples(index=False, name=None):
-                if row[:n] != key:
-                    if key is not None and finish:
-                        out += finish(state, key)
-                    key, state = row[:n], None
-                state, more = step(state, row)
-                out += more
-            yield pd.DataFrame(out, columns=names)
-        if key is not None and finish:
-            yield pd.DataFrame(finish(state, key), columns=names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state = None, None  # the open series' key columns, one row each
+
+        def rows(key: list[pa.Array], got: list[list] | None) -> list[pa.RecordBatch]:
+            if not got or not len(got[0]):
+                return []
+            zero = pa.array(np.zeros(len(got[0]), np.int64))
+            return [pa.RecordBatch.from_arrays([*(k.take(zero) for k in key), *(pa.array(v, t) for v, t in zip(got, types))], names=out.names)]
 
-    return ordered.mapInPandas(run, schema)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = [batch.column(i) for i in range(n)]
+            if last is not None:  # the open series goes before, to be compared like the rest
+                key = [pa.concat_arrays([x, y]) for x, y in zip(last, key)]
+            codes = [k.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False) for k in key]
+            new = np.zeros(len(key[0]) - 1, bool)
+            for c in codes:
+                new |= c[1:] != c[:-1]
+            shift = 0 if last is None else 1
+            edge = np.flatnonzero(new) + 1 - shift
+            fresh = last is None or bool(new[0])
+            starts = [0, *edge[edge > 0].tolist()]
+            cols = [batch.column(n + i).to_pylist() for i in range(len(columns))]
+            done: list[pa.RecordBatch] = []
+            for i, (x, y) in enumerate(zip(starts, [*starts[1:], batch.num_rows])):
+                if i or fresh:
+                    if last is not None and finish:
+                        done += rows(last, finish(state))
+                    state = None
+                last = [k.slice(x + shift, 1) for k in key]
+                state, got = step(state, [c[x:y] for c in cols])
+                done += rows(last, got)
+            last = [pa.concat_arrays([k]) for k in last]
+            if done:
+                yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+        if last is not None and finish:
+            yield from rows(last, finish(state))
+
+    return ordered.mapInArrow(run, out)
 
 
 def deadband(df: DataFrame, value: str, keys: Sequence[str], order: str, dead: float) -> DataFrame:
-    """The output follows the input only when it is at least ``dead`` away from the last output."""
-    at = len(keys)
+    """The output follows the input only when it is at least ``dead`` away from the last output; a null follows nothing."""
 
-    def step(state, row):
-        v = row[at + 1]
-        out = v if state is None or abs(v - state) >= dead else state
-        return out, [(*row[: at + 1], float(out))]
+    def step(held, cols):
+        out = []
+        for v in cols[1]:
+            if v is not None and (held is None or abs(v - held) >= dead):
+                held = float(v)
+            out.append(held)
+        return held, [cols[0], out]
 
-    types = dict(df.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in (*keys, order)) + ", held double"
-    return fold(df, keys, [order], step, [*keys, order, value], schema)
+    return fold(df, keys, [order], step, [order, value], f"`{order}` {dict(df.dtypes)[order]}, held double")
 
 
 def smoothed(df: DataFrame, value: str, keys: Sequence[str], order: str, keep: float) -> DataFrame:
-    """First-order recursive smoothing that takes values of 0 and 1 as they are."""
-    at = len(keys)
+    """First-order recursive smoothing that takes values of 0 and 1 as they are; a null changes nothing."""
 
-    def step(state, row):
-        v = row[at + 1]
-        out = v if state is None or v in (0.0, 1.0) else keep * state + (1 - keep) * v
-        return out, [(*row[: at + 1], float(out))]
+    def step(held, cols):
+        out = []
+        for v in cols[1]:
+            if v is not None:
+                held = float(v) if held is None or v in (0.0, 1.0) else keep * held + (1 - keep) * v
+            out.append(held)
+        return held, [cols[0], out]
 
-    types = dict(df.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in (*keys, order)) + ", smooth double"
-    return fold(df, keys, [order], step, [*keys, order, value], schema)
+    return fold(df, keys, [order], step, [order, value], f"`{order}` {dict(df.dtypes)[order]}, smooth double")

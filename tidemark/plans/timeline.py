@@ -285,11 +285,14 @@ SELECT user_id, frame FROM k WHERE frame IS NOT NULL""")
 def _(spark, d):
     x = frames(spark, d).withColumn("d", S.abs_difference("value", USER, ["frame"])).where("d > 40")
 
-    def step(last, row):
-        far = last is None or row[1] >= last + 6
-        return (row[1] if far else last), ([row] if far else [])
-
-    return S.fold(x, USER, ["frame"], step, ["user_id", "frame"], "user_id long, frame long")
+    def step(last, cols):
+        kept = []
+        for frame in cols[0]:
+            if last is None or frame >= last + 6:
+                kept.append(last := frame)
+        return last, [kept]
+
+    return S.fold(x, USER, ["frame"], step, ["frame"], "frame long")
 
 
 @query("resample_to_rate", """WITH x AS (SELECT user_id, CAST(floor(epoch(ts) / 43200) AS BIGINT) AS cell, ts, event_id, value FROM events)
