@@ -87,3 +87,23 @@ def require_labels(labels: DataFrame, groups: DataFrame) -> DataFrame:
     """group, label id of every name in a group; a name without a label is an error."""
     x = groups.join(labels, "name", "left")
     return x.select("group", F.when(F.col("label").isNotNull(), F.col("label")).otherwise(F.raise_error(F.concat(F.lit("no label "), "name")).cast("int")).alias("label"))
+
+
+def nearest_value(df: DataFrame, bank: DataFrame, keys: Sequence[str], value: str, at: str, ties: Sequence[Column], digits: int) -> DataFrame:
+    """Each row of ``df`` with the row of ``bank`` of its ``keys`` whose ``at`` is nearest to ``value``.
+
+    Distances are compared rounded to ``digits`` decimals, which ``at`` does not exceed;
+    among rows at one distance the smallest ``ties`` are taken.  Only the neighbours below
+    and above can be nearest: both sides are sorted together and each row takes the last
+    bank row before it and the first after it, so nothing is paired.
+    """
+    kept = [c for c in bank.columns if c not in keys]
+    one = bank.groupBy(*keys, F.col(at).alias("__p")).agg(F.min(F.struct(F.struct(*ties).alias("t"), F.struct(*kept).alias("b"))).alias("__bank"))
+    left = df.select(*keys, F.col(value).alias("__at"), F.struct(*df.columns).alias("__row"), F.lit(None).cast(one.schema["__bank"].dataType).alias("__bank"), F.lit(1).alias("__side"))
+    right = one.select(*keys, F.col("__p").cast(df.schema[value].dataType).alias("__at"), F.lit(None).cast(left.schema["__row"].dataType).alias("__row"), "__bank", F.lit(0).alias("__side"))
+    both = left.union(right)
+    up, down = Window.partitionBy(*keys).orderBy("__at", "__side"), Window.partitionBy(*keys).orderBy(F.desc("__at"), "__side")
+    both = both.withColumn("__below", F.last("__bank", True).over(up)).withColumn("__above", F.last("__bank", True).over(down)).where("__side = 1")
+    near = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.round(F.abs(F.col("__at") - F.col(c)["b"][at]), digits).alias("far"), F.col(c)["t"].alias("t"), F.col(c)["b"].alias("b")))
+    best = both.select("__row", F.array_min(F.array(near("__below"), near("__above"))).alias("__best"))
+    return best.select(*(F.col(f"__row.{c}").alias(c) for c in df.columns), *(F.col(f"__best.b.{c}").alias(c) for c in kept))

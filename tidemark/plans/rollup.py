@@ -9,6 +9,7 @@ from ..functions import scalars as S
 from ..operators import boxes as B
 from ..operators import metrics as M
 from ..operators import quality as Q
+from ..operators import selection as C
 from ..operators import state as T
 from .common import r6, table
 
@@ -273,21 +274,21 @@ def _(spark, d):
 
 # boxes; derived from lineitem: a picture is an order
 
-_BOX = "b AS (SELECT l_orderkey AS image, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice) AS box, (l_partkey % 40)::DOUBLE AS x0, (l_suppkey % 40)::DOUBLE AS y0, l_partkey % 40 + 10 + l_quantity AS x1, l_suppkey % 40 + 10 + l_quantity / 2 AS y1, l_extendedprice AS score FROM lineitem WHERE l_orderkey % 8 = 0)"
+_BOX = "b AS (SELECT l_orderkey AS image, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice) AS box, (l_partkey % 40)::DOUBLE AS x0, (l_suppkey % 40)::DOUBLE AS y0, l_partkey % 40 + 10 + l_quantity AS x1, l_suppkey % 40 + 10 + l_quantity / 2 AS y1, l_extendedprice AS score FROM lineitem)"
 
 
 def boxes(spark, d):
-    li = table(spark, d, "lineitem").where("l_orderkey % 8 = 0")
+    li = table(spark, d, "lineitem")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice")
     x, y = (F.col("l_partkey") % 40).cast("double"), (F.col("l_suppkey") % 40).cast("double")
     return li.select(F.col("l_orderkey").alias("image"), F.row_number().over(w).cast("long").alias("box"), x.alias("x0"), y.alias("y0"), (x + 10 + F.col("l_quantity")).alias("x1"), (y + 10 + F.col("l_quantity") / 2).alias("y1"), F.col("l_extendedprice").alias("score"))
 
 
-@query("point_in_box_smallest", f"""WITH {_BOX}, p AS (SELECT o_orderkey AS image, 1 AS point, (o_custkey % 60)::DOUBLE AS px, (o_orderkey % 45)::DOUBLE AS py FROM orders WHERE o_orderkey % 8 = 0),
+@query("point_in_box_smallest", f"""WITH {_BOX}, p AS (SELECT o_orderkey AS image, 1 AS point, (o_custkey % 60)::DOUBLE AS px, (o_orderkey % 45)::DOUBLE AS py FROM orders),
 m AS (SELECT p.image, p.point, b.box, row_number() OVER (PARTITION BY p.image ORDER BY (x1 - x0) * (y1 - y0), box) AS r FROM p JOIN b ON b.image = p.image AND x0 <= px AND px <= x1 AND y0 <= py AND py <= y1)
 SELECT p.image, p.point, m.box FROM p LEFT JOIN m ON m.image = p.image AND r = 1""")
 def _(spark, d):
-    p = table(spark, d, "orders").where("o_orderkey % 8 = 0").select(F.col("o_orderkey").alias("image"), F.lit(1).alias("point"), (F.col("o_custkey") % 60).cast("double").alias("px"), (F.col("o_orderkey") % 45).cast("double").alias("py"))
+    p = table(spark, d, "orders").select(F.col("o_orderkey").alias("image"), F.lit(1).alias("point"), (F.col("o_custkey") % 60).cast("double").alias("px"), (F.col("o_orderkey") % 45).cast("double").alias("py"))
     return B.smallest_container(p, boxes(spark, d), ["image"], "point", "box")
 
 
@@ -312,14 +313,12 @@ def _(spark, d):
     return x.select("image", "box", r.cast("long").alias("rank")).where("rank <= 5")
 
 
-@query("nearest_value_join", """WITH x AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, p_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice ORDER BY round(abs(l_extendedprice / 50 - p_retailprice), 2), p_size DESC, p_partkey) AS r FROM lineitem JOIN part ON p_partkey % 100 = l_suppkey % 100 WHERE l_orderkey % 40 = 0)
+@query("nearest_value_join", """WITH x AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, p_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice ORDER BY round(abs(l_extendedprice / 50 - p_retailprice), 2), p_size DESC, p_partkey) AS r FROM lineitem JOIN part ON p_partkey % 100 = l_suppkey % 100)
 SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, p_partkey FROM x WHERE r = 1""")
 def _(spark, d):
-    li = table(spark, d, "lineitem").where("l_orderkey % 40 = 0").withColumn("g", F.col("l_suppkey") % 100)
-    p = table(spark, d, "part").select((F.col("p_partkey") % 100).alias("g"), "p_partkey", "p_retailprice", "p_size")
-    keys = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice"]
-    far = F.round(F.abs(F.col("l_extendedprice") / 50 - F.col("p_retailprice")), 2)
-    x = li.join(p, "g").groupBy(*keys).agg(F.min_by("p_partkey", F.struct(far, -F.col("p_size"), "p_partkey")).alias("p_partkey"))
+    li = table(spark, d, "lineitem").withColumn("g", F.col("l_suppkey") % 100).withColumn("value", F.col("l_extendedprice") / 50)
+    p = table(spark, d, "part").select((F.col("p_partkey") % 100).alias("g"), F.col("p_retailprice").alias("at"), "p_partkey", "p_size")
+    x = C.nearest_value(li, p, ["g"], "value", "at", [-F.col("p_size"), F.col("p_partkey")], digits=2)
     return x.select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "p_partkey")
 
 
