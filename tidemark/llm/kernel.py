@@ -2,9 +2,11 @@
 
 Text reaches Python as Arrow string columns; the UTF-8 buffer is used in place as
 one ``uint8`` array per block of documents, and every word, line, shingle or
-window is a slice of it.  Slices are fingerprinted in O(1) from prefix sums of a
-polynomial hash modulo 2**64 over randomised byte values, so nothing here loops
-over characters or words in Python.
+window is a slice of it.  Slices are fingerprinted in O(1) from prefix sums of two
+polynomial hashes modulo the prime 2**31 - 1 with bases and byte values of their own
+(62 bits; two slices of n bytes agree by chance with a probability of about 2**-62,
+and of (n / 2**31)**2 at most, whatever they hold).  Nothing here loops over
+characters or words in Python.
 """
 
 from __future__ import annotations
@@ -17,12 +19,16 @@ import pyarrow as pa
 #: Bytes of text handled at once; one longer document forms a block of its own.
 BLOCK_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
+_P, _P_BITS = np.uint64((1 << 31) - 1), np.uint64(31)
 _rng = np.random.default_rng(20240501)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POW = np.ones(1, np.uint64)
-_IPOW = np.ones(1, np.uint64)
+#: Two bases, and for each a value for every byte.
+_BASES = [int(x) for x in _rng.integers(1 << 29, (1 << 31) - 1, 2)]
+_VALUES = _rng.integers(1, (1 << 31) - 1, (2, 256)).astype(np.uint64)
+_powers: list[list[np.ndarray]] = []
+#: For short strings of one length, a polynomial modulo 2**64 (not sound for long ones, whatever its base).
+SHORT = 64
+_BASE64 = 0x9E3779B97F4A7C15 | 1
+_BYTE64 = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: ASCII white space: space and tab to carriage return.
 IS_SPACE = np.zeros(256, bool)
@@ -41,16 +47,29 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POW, _IPOW
-    if len(_POW) < n:
-        size = max(n, 2 * BLOCK_BYTES)
-        with np.errstate(over="ignore"):
-            step = np.full(size, _BASE & (2**64 - 1), np.uint64)
-            inv = np.full(size, _INV, np.uint64)
-            step[0] = inv[0] = 1
-            _POW, _IPOW = np.multiply.accumulate(step), np.multiply.accumulate(inv)
-    return _POW, _IPOW
+def _fold(x: np.ndarray) -> np.ndarray:
+    """The same value modulo 2**31 - 1; below 2**32 where x is below 2**62."""
+    return (x & _P) + (x >> _P_BITS)
+
+
+def _power_tables(n: int) -> list[list[np.ndarray]]:
+    """For each base its powers and those of its inverse, at least n of each."""
+    if not _powers or len(_powers[0][0]) < n:
+        size, p = max(n, 2 * BLOCK_BYTES), int(_P)
+        tables = []
+        for base in _BASES:
+            pair = []
+            for step in (base, pow(base, -1, p)):
+                t = np.ones(size, np.uint64)
+                m = 1
+                while m < size:
+                    k = min(m, size - m)
+                    t[m : m + k] = t[:k] * np.uint64(pow(step, m, p)) % _P
+                    m += k
+                pair.append(t.astype(np.uint32))
+            tables.append(pair)
+        _powers[:] = tables
+    return _powers
 
 
 class Block:
@@ -58,31 +77,49 @@ class Block:
 
     def __init__(self, data: np.ndarray, off: np.ndarray, rows: slice):
         self.data, self.off, self.rows, self.n = data, off, rows, len(off) - 1
-        self._prefix: np.ndarray | None = None
+        self._prefix: list[np.ndarray] | None = None
 
     def lowered(self) -> Block:
         return Block(LOWER[self.data], self.off, self.rows)
 
     @property
-    def prefix(self) -> np.ndarray:
+    def prefix(self) -> list[np.ndarray]:
         if self._prefix is None:
-            pw, _ = _powers(len(self.data) + 1)
-            s = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_BYTE[self.data] * pw[: len(self.data)], out=s[1:])
-            self._prefix = s
+            n = len(self.data)
+            self._prefix = []
+            for value, (power, _) in zip(_VALUES, _power_tables(n + 1)):
+                s = np.zeros(n + 1, np.uint64)
+                np.cumsum(_fold(value[self.data] * power[:n]), out=s[1:])
+                self._prefix.append(s)
         return self._prefix
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Fingerprints of the slices [start, end)."""
-        s, (_, ip) = self.prefix, _powers(len(self.data) + 1)
-        h = (s[end] - s[start]) * ip[start]
-        return mix(h ^ ((end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
+        both = []
+        for s, (_, inverse) in zip(self.prefix, _power_tables(len(self.data) + 1)):
+            h = _fold(_fold(_fold(_fold(s[end] - s[start])) * inverse[start]))
+            both.append(np.where(h >= _P, h - _P, h))
+        return mix(((both[0] << _P_BITS) | both[1]) ^ ((end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
 
     def grams(self, k: int) -> np.ndarray:
-        """Fingerprints of all k-byte strings by start (document borders are not looked at)."""
-        s, (_, ip) = self.prefix, _powers(len(self.data) + 1)
+        """Fingerprints of all k-byte strings by start, k up to ``SHORT`` (document borders are not looked at)."""
+        assert k <= SHORT
         n = len(self.data) - k + 1
-        return mix((s[k:] - s[:n]) * ip[:n]) if n > 0 else np.zeros(0, np.uint64)
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        value = _BYTE64[self.data]
+        h, width = value, 1  # of strings of ``width`` bytes, put together from halves
+        out, done = np.zeros(n, np.uint64), 0
+        rest = k
+        while rest:
+            if rest & 1:
+                out += h[done : done + n] * np.uint64(pow(_BASE64, done, 1 << 64))
+                done += width
+            rest >>= 1
+            if rest:
+                h = h[:-width] + h[width:] * np.uint64(pow(_BASE64, width, 1 << 64))
+                width *= 2
+        return mix(out)
 
     def runs(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Maximal runs of ``inside`` that do not cross documents: starts, ends, and per document the first run's index."""
