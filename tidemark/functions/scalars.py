@@ -25,6 +25,11 @@ def without_comment(s: Column) -> Column:
     return F.trim(F.split_part(s, F.lit("#"), F.lit(1)))
 
 
+def shortened(s: Column, most: int = 2000) -> Column:
+    """The first ``most`` characters, as error messages are kept."""
+    return F.left(s, F.lit(most))
+
+
 def number_pair(s: Column) -> Column:
     """``"a-b"`` as a struct of doubles, null if it is none."""
     a, b = F.regexp_extract(s, r"^\s*([0-9.]+)\s*-\s*([0-9.]+)\s*$", 1), F.regexp_extract(s, r"^\s*([0-9.]+)\s*-\s*([0-9.]+)\s*$", 2)
