@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from ..functions import scalars as S
 
@@ -16,38 +19,59 @@ def needles(phrases: DataFrame, phrase: str, stop: DataFrame | None = None, leas
     return x if stop is None else x.join(stop.select(F.col("word").alias("needle")), "needle", "left_anti")
 
 
-def needle_hits(docs: DataFrame, key: str, text: str, wanted: DataFrame, least: int = 6) -> DataFrame:
+def needle_hits(docs: DataFrame, key: str, text: str, wanted: DataFrame, least: int = 6, most: int = 1 << 17) -> DataFrame:
     """key, hits: documents that have a needle as a token, and how many distinct ones.
 
-    Both sides meet in an equi-join on tokens; a document sends each token once.
+    Up to ``most`` needles, which is checked, go to the tasks that read the texts, so that
+    only hits are shuffled; more of them meet the tokens in an equi-join.
     """
     t = docs.select(key, F.explode(F.array_distinct(S.tokens(F.col(text), least))).alias("needle"))
-    return t.join(wanted, "needle", "left_semi").groupBy(key).agg(F.count("*").alias("hits"))
+    few = wanted.limit(most + 1).count() <= most
+    return t.join(F.broadcast(wanted) if few else wanted, "needle", "left_semi").groupBy(key).agg(F.count("*").alias("hits"))
 
 
-def passage_hits(docs: DataFrame, key: str, text: str, phrases: DataFrame, phrase_key: str, phrase: str, words: int = 4) -> DataFrame:
-    """key, phrase_key of every document that contains a phrase literally.
+def passage_hits(docs: DataFrame, key: str, text: str, phrases: DataFrame, phrase_key: str, phrase: str, lower: bool = False, block_chars: int = 1 << 24) -> DataFrame:
+    """key, phrase_key of every document that contains a phrase literally, or but for case if ``lower``.
 
-    A phrase is found by its first ``words`` blank-separated words as an equi-join key,
-    and only documents that have them are searched for the whole phrase.  Phrases of
-    fewer words are found by their first word.
+    Phrases are a query set: they go to the executors as an automaton, in blocks of about
+    ``block_chars`` characters with one pass over the texts each.  A pass finds all its
+    phrases, short ones too, in one walk over a text, and nothing is shuffled.  Null and
+    empty phrases are in no text; several rows of one phrase are found each.
     """
-    parts = lambda c: F.split(c, " ")
-    p = phrases.select(phrase_key, F.col(phrase).alias("__phrase"), parts(F.col(phrase)).alias("w"))
-    # the first word may be glued to what stands before it, so seeds start at the second where there is one
-    long = p.where(F.size("w") >= words + 2).select(phrase_key, "__phrase", F.array_join(F.slice("w", 2, words), " ").alias("seed"))
-    short = p.where(F.size("w") < words + 2).select(phrase_key, "__phrase")
-    # the words are bound once per text, not once per position
-    windows = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - words + 1)), lambda i: F.array_join(F.slice(w, i, F.lit(words)), " "))
-    grams = F.array_distinct(F.flatten(F.transform(F.array(parts(F.col(text))), windows)))
-    seeds = docs.select(key, F.explode(grams).alias("seed")).join(long, "seed").select(key, phrase_key, "__phrase").distinct()
-    hits = seeds.join(docs.select(key, text), key).where(F.contains(F.col(text), F.col("__phrase"))).select(key, phrase_key)
-    few = short.limit(1000).collect()
-    if len(few) == 1000:
-        raise ValueError("more than 999 phrases are too short for seeds; lower `words`")
-    for r in few:
-        hits = hits.union(docs.where(F.contains(F.col(text), F.lit(r["__phrase"]))).select(key, F.lit(r[phrase_key]).cast(dict(phrases.dtypes)[phrase_key]).alias(phrase_key)))
-    return hits.distinct()
+    put = F.lower(F.col(phrase)) if lower else F.col(phrase)
+    wanted = phrases.select(F.col(phrase_key).alias("k"), put.alias("p")).where("p <> ''")
+    out = StructType([docs.schema[key], StructField(phrase_key, phrases.schema[phrase_key].dataType)])
+    types = [to_arrow_type(f.dataType) for f in out]
+    rows = docs.select(key, F.lower(text) if lower else F.col(text))
+    blocks = int((wanted.agg(F.coalesce(F.sum(F.length("p")), F.lit(0))).first()[0]) // block_chars) + 1
+    hits = docs.sparkSession.createDataFrame([], out)
+    for i in range(blocks):
+        some = [(r["k"], r["p"]) for r in wanted.where(F.pmod(F.xxhash64("p"), F.lit(blocks)) == i).collect()]
+        if not some:
+            continue
+        shared = docs.sparkSession.sparkContext.broadcast(some)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            import ahocorasick
+
+            names: dict[str, list] = {}
+            for k, p in shared.value:
+                names.setdefault(p, []).append(k)
+            found = ahocorasick.Automaton()
+            for p in names:
+                found.add_word(p, p)
+            found.make_automaton()
+            for batch in batches:
+                at, own = [], []
+                for j, t in enumerate(batch.column(1)):
+                    for p in {p for _, p in found.iter(t.as_py() or "")}:
+                        own += names[p]
+                        at += [j] * len(names[p])
+                if at:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(own, types[1])], names=out.names)
+
+        hits = hits.union(rows.mapInArrow(run, out))
+    return hits
 
 
 def exempted(text: Column, pattern: str, exemption: str) -> Column:
@@ -74,6 +98,12 @@ def allowed(requests: DataFrame, grants: DataFrame, key: Sequence[str], path: st
     return x.select(*key, F.when(F.col("ok") == 1, "permitted").when(F.col("seen") == 1, "outside interval").otherwise("not listed").alias("decision"))
 
 
+def readable(files: DataFrame, content: str = "content", most: int = 2_000_000) -> DataFrame:
+    """Binary files with ``text``: those of at most ``most`` bytes, without a zero byte, that are UTF-8; others are left out."""
+    x = files.where((F.octet_length(content) <= most) & (F.position(F.lit(b"\0"), F.col(content)) == 0))
+    return x.withColumn("text", F.try_validate_utf8(F.col(content).cast("string"))).where(F.col("text").isNotNull())
+
+
 def find_files(files: DataFrame, path: str, name: str | None = None, extension: str | None = None, content: Column | None = None) -> DataFrame:
     base = F.substring_index(F.col(path), "/", -1)
     x = files

@@ -27,11 +27,11 @@ def _(spark, d):
     return x.where("copies > 1")
 
 
-@query("needle_scan", """WITH n AS (SELECT DISTINCT unnest(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda t: length(t) >= 6)) AS w FROM benchmark WHERE item_id < 8), s AS (SELECT DISTINCT lower(source) AS w FROM documents),
+@query("needle_scan", """WITH n AS (SELECT DISTINCT unnest(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda t: length(t) >= 6)) AS w FROM benchmark), s AS (SELECT DISTINCT lower(source) AS w FROM documents),
 t AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda t: length(t) >= 6))) AS w FROM documents) SELECT doc_id, count(*) AS hits FROM t WHERE w IN (SELECT w FROM n WHERE w NOT IN (SELECT w FROM s)) GROUP BY 1""")
 def _(spark, d):
     docs = table(spark, d, "documents")
-    n = X.needles(table(spark, d, "benchmark").where("item_id < 8"), "text", docs.select(F.lower("source").alias("word")).distinct())
+    n = X.needles(table(spark, d, "benchmark"), "text", docs.select(F.lower("source").alias("word")).distinct())
     return X.needle_hits(docs, "doc_id", "text", n)
 
 
@@ -40,15 +40,15 @@ def _(spark, d):
     return X.passage_hits(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
 
 
-@query("withheld_clause_scan", """WITH c AS (SELECT DISTINCT unnest(list_filter(list_transform(string_split_regex(text, '[,\n]'), lambda c: trim(regexp_replace(regexp_replace(c, '\\{[^}]*\\}', '', 'g'), '\\s+', ' ', 'g'))), lambda c: length(c) >= 12)) AS clause FROM benchmark),
-t AS (SELECT DISTINCT doc_id, unnest(list_filter(list_transform(string_split_regex(text, '[,\n]'), lambda c: trim(regexp_replace(regexp_replace(c, '\\{[^}]*\\}', '', 'g'), '\\s+', ' ', 'g'))), lambda c: length(c) >= 12)) AS clause FROM documents WHERE doc_id % 2 = 0),
-public AS (SELECT DISTINCT unnest(list_filter(list_transform(string_split_regex(text, '[,\n]'), lambda c: trim(regexp_replace(regexp_replace(c, '\\{[^}]*\\}', '', 'g'), '\\s+', ' ', 'g'))), lambda c: length(c) >= 12)) AS clause FROM documents WHERE doc_id % 2 = 1)
-SELECT doc_id, count(*) AS clauses FROM t WHERE clause IN (SELECT clause FROM c EXCEPT SELECT clause FROM public) GROUP BY 1""".replace("\\\\", "\\"))
+_CLAUSES = "unnest(list_filter(list_transform(string_split_regex(lower(text), '[,\n]'), lambda c: trim(regexp_replace(regexp_replace(c, '\\{[^}]*\\}', '', 'g'), '\\s+', ' ', 'g'))), lambda c: length(c) >= 12)) AS clause"
+
+
+@query("withheld_clause_scan", f"""WITH c AS (SELECT DISTINCT {_CLAUSES} FROM benchmark), public AS (SELECT DISTINCT {_CLAUSES} FROM conversations)
+SELECT doc_id, count(*) AS clauses FROM documents JOIN (SELECT clause FROM c EXCEPT SELECT clause FROM public) w ON contains(lower(text), clause) GROUP BY 1""")
 def _(spark, d):
-    docs, bench = table(spark, d, "documents"), table(spark, d, "benchmark")
-    split = lambda df, *k: df.select(*k, F.explode(S.clauses(F.col("text"))).alias("clause")).distinct()
-    wanted = split(bench).join(split(docs.where("doc_id % 2 = 1")), "clause", "left_anti")
-    return split(docs.where("doc_id % 2 = 0"), "doc_id").join(wanted, "clause", "left_semi").groupBy("doc_id").agg(F.count("*").alias("clauses"))
+    split = lambda df: df.select(F.explode(S.clauses(F.lower("text"))).alias("clause")).distinct()
+    wanted = split(table(spark, d, "benchmark")).join(split(table(spark, d, "conversations")), "clause", "left_anti").withColumn("name", F.col("clause"))
+    return X.passage_hits(table(spark, d, "documents"), "doc_id", "text", wanted, "name", "clause", lower=True).groupBy("doc_id").agg(F.count("*").alias("clauses"))
 
 
 @query("glob_find", "SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '/[0-9]+\\.html$') AND regexp_matches(html, '(?i)<nav') ORDER BY page_id LIMIT 40".replace("\\\\", "\\"))
