@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,16 +57,36 @@ class Conflict(Exception):
     """The stored version is not the one that was read."""
 
 
-def save_if_unchanged(df: DataFrame, path: str, expected: int) -> int:
+def save_if_unchanged(df: DataFrame, path: str, expected: int, stale_after: float = 3600.0) -> int:
     """Write ``df`` as the version after ``expected``; :class:`Conflict` if another writer came first.
 
-    A version is a folder ``v=N``; the file system refuses to create it twice.
+    A version is a folder ``v=N``.  A writer first claims it by creating a marker, which
+    the file system lets only one do, then writes aside and renames the finished folder
+    into place, so no reader and no other writer sees a part of it.  The claim of a writer
+    that died is taken over once it is ``stale_after`` seconds old.
     """
     spark = df.sparkSession
     new = expected + 1
-    if current_version(spark, path) != expected:
-        raise Conflict(f"{path} is at version {current_version(spark, path)}, not {expected}")
-    df.write.mode("errorifexists").parquet(f"{path}/v={new}")
+    if (at := current_version(spark, path)) != expected:
+        raise Conflict(f"{path} is at version {at}, not {expected}")
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    claim, aside, place = name(f"{path}/_claims/v={new}"), name(f"{path}/_aside/{uuid.uuid4().hex}"), name(f"{path}/v={new}")
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(claim) and not fs.exists(place) and time.time() - fs.getFileStatus(claim).getModificationTime() / 1000 > stale_after:
+        fs.delete(claim, False)
+    try:
+        fs.create(claim, False).close()
+    except Py4JJavaError as e:
+        raise Conflict(f"version {new} of {path} is being written") from e
+    try:
+        df.write.parquet(aside.toString())
+        if fs.exists(place) or not fs.rename(aside, place):
+            raise Conflict(f"version {new} of {path} is there already")
+    except BaseException:
+        fs.delete(aside, True)
+        if not fs.exists(place):
+            fs.delete(claim, False)
+        raise
     return new
 
 
