@@ -1,6 +1,8 @@
 import itertools
 import json
+import random
 import struct
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -9,8 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import pixels as P
 from tidemark.functions import scalars as S
 from tidemark.operators import boxes as B
+from tidemark.operators import checks as K
 from tidemark.operators import intervals as I
+from tidemark.operators import metrics as M
 from tidemark.operators import quality as Q
+from tidemark.operators import selection as C
 from tidemark.operators import series as R
 from tidemark.operators import state as T
 from tidemark.operators import text as X
@@ -22,6 +27,10 @@ from tidemark.sources import files as SRC
 from tidemark.streaming import events as ST
 
 
+def text_rows(df):
+    return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+
 def rows(df, *order):
     return [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
 
@@ -243,3 +252,124 @@ def test_selection(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("x/y.txt", "hello")
     assert [tuple(r)[1:] for r in SRC.list_archives(spark, str(tmp_path)).collect()] == [("x/y.txt", 5)]
+
+
+def test_fold_keeps_null_keys_and_exact_integers(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(None, i, v) for i, v in enumerate([0.0, 1.0, 0.5])] + [(big, i, v) for i, v in enumerate([5.0, 30.0, 31.0])] + [(7, 0, None), (7, 1, 2.0), (7, 2, None)], "k long, t long, v double")
+    got = {(r["k"], r["t"]): r["held"] for r in R.deadband(df, "v", ["k"], "t", 10.0).collect()}
+    assert got == {(None, 0): 0.0, (None, 1): 0.0, (None, 2): 0.0, (big, 0): 5.0, (big, 1): 30.0, (big, 2): 30.0, (7, 0): None, (7, 1): 2.0, (7, 2): 2.0}
+    assert {(r["k"], r["t"]): r["smooth"] for r in R.smoothed(df, "v", ["k"], "t", 0.5).collect()}[None, 2] == 0.75
+    assert R.deadband(df.where("false"), "v", ["k"], "t", 10.0).count() == 0
+
+
+def test_fold_over_batches(spark):
+    """Series that run on over Arrow batches, and their ends."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = spark.range(40).select((F.col("id") % 3).alias("k"), F.concat(F.lit("g"), F.col("id") % 3).alias("s"), F.col("id").alias("t"))
+        got = R.fold(df, ["k", "s"], ["t"], lambda s, c: ((s or 0) + len(c[0]), None), ["t"], "n long", lambda s: [[s]])
+        assert text_rows(got) == [("0", "g0", "14"), ("1", "g1", "13"), ("2", "g2", "13")]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_joint_leaders_equal_a_plain_loop(spark):
+    r = random.Random(8)
+    items = []
+    for i in range(60):
+        v = np.array([r.gauss(1, 0.4), r.gauss(0, 0.6)])
+        items.append((i, (v / np.linalg.norm(v)).tolist(), {c: [r.choice([10.0, 40.0]), 0.0, r.random() * 9] for c in "abc" if r.random() < 0.5}))
+    df = spark.createDataFrame([(1, *x) for x in items], "g int, id long, v array<double>, p map<string,array<double>>")
+    got = {x["id"]: x["leader"] for x in V.joint_leaders(df, ["g"], ["id"], "id", "v", "p", 0.6, 12.0).collect()}
+    led, want = [], {}
+    for i, v, p in items:
+        for leader, w, theirs in led:
+            both = set(p) & set(theirs)
+            if both and np.dot(v, w) > 0.6 and np.mean([np.linalg.norm(np.subtract(p[c], theirs[c])) for c in both]) < 12.0:
+                theirs.update({c: x for c, x in p.items() if c not in theirs})
+                want[i] = leader
+                break
+        else:
+            led.append((i, v, dict(p)))
+            want[i] = i
+    assert got == want and 3 < len(led) < 55
+
+
+def test_exact_percentiles(spark):
+    r = np.random.default_rng(2)
+    data = [(k, float(v)) for k, n in ((None, 7), (1, 1), (2, 500), (3, 40)) for v in (r.normal(size=n) if k != 3 else [4.0] * n)] + [(4, None), (2, None)]
+    got = {x["k"]: (x["p01"], x["p50"], x["p99"]) for x in M.exact_percentiles(spark.createDataFrame(data, "k int, v double"), "v", ["k"], (0.01, 0.5, 0.99), bins=16).collect()}
+    want = {k: tuple(np.percentile([v for j, v in data if j == k and v is not None], (1, 50, 99))) for k in (None, 1, 2, 3)}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_nearest_value(spark):
+    r = random.Random(3)
+    left = [(i, r.randrange(3), r.randrange(100) / 100 + i % 2 * 0.002) for i in range(80)] + [(100, 9, 0.5), (101, 0, 0.5), (101, 0, 0.5)]
+    bank = [(i, r.randrange(3), r.randrange(100) / 100, r.randrange(3)) for i in range(90)]
+    got = C.nearest_value(spark.createDataFrame(left, "id long, g long, v double"), spark.createDataFrame(bank, "b long, g long, at double, size long"), ["g"], "v", "at", [-F.col("size"), F.col("b")], 2)
+    want = []
+    for i, g, v in left:
+        best = min(((round(abs(v - at), 2), -size, b) for b, h, at, size in bank if h == g), default=(None, None, None))
+        want.append((i, best[2]))
+    assert sorted((x["id"], x["b"] if x["b"] is not None else -1) for x in got.collect()) == sorted((i, -1 if b is None else b) for i, b in want)
+
+
+def test_likely_pairs_and_agreement(spark):
+    r = np.random.default_rng(6)
+    base = r.normal(size=(40, 24))
+    m = np.concatenate([base, base + 0.25 * r.normal(size=base.shape), base[:20] + 0.5 * r.normal(size=(20, 24))])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, i % 7, v.tolist()) for i, v in enumerate(m)], "id long, g long, v array<double>")
+    sim = m @ m.T
+    want = {(i, j) for i in range(len(m)) for j in range(i + 1, len(m)) if sim[i, j] >= 0.8}
+    for block in (2048, 4):
+        got = [(x["a"], x["b"]) for x in V.likely_pairs(df, "id", "v", 0.8, block=block).collect()]
+        assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.9 * len(want)
+    assert V.bucket_recall(0.8) > 0.8 and V.bucket_recall(1.0) == 1.0
+    members = df.where("id % 2 = 0")
+    for cells in (1 << 24, 300):
+        got = {x["id"]: x["agreement"] for x in V.median_agreement(df, members, "id", "g", "v", cells).collect()}
+        for i in range(len(m)):
+            assert got[i] == pytest.approx(np.median([sim[i, j] for j in range(0, len(m), 2) if j % 7 != i % 7]))
+    assert V.median_agreement(df.where("g = 0"), df.where("g = 0"), "id", "g", "v").count() == 0
+
+
+def test_passages(spark):
+    docs = spark.createDataFrame([(1, "a bc ABC"), (2, None), (None, "xabcx"), (3, "")], "id long, text string")
+    p = spark.createDataFrame([("p", "abc"), ("q", "abc"), ("r", "b"), ("s", ""), (None, "x"), ("t", None)], "k string, p string")
+    for chars in (1 << 24, 1):
+        assert text_rows(X.passage_hits(docs, "id", "text", p, "k", "p", block_chars=chars)) == sorted([("1", "r"), ("None", "None"), ("None", "p"), ("None", "q"), ("None", "r")])
+    assert ("1", "p") in text_rows(X.passage_hits(docs, "id", "text", p, "k", "p", lower=True))
+    files = spark.createDataFrame([(1, bytearray(b"ok")), (2, bytearray(b"a\0b")), (3, bytearray(b"\xff")), (4, bytearray(b"x" * 50)), (5, bytearray(b""))], "id int, content binary")
+    assert [r["id"] for r in X.readable(files, most=49).orderBy("id").collect()] == [1, 5]
+
+
+def test_one_of_many_writers_wins(spark, tmp_path):
+    p = str(tmp_path / "t")
+    T.save_if_unchanged(spark.range(2), p, -1)
+
+    def write(i):
+        try:
+            return T.save_if_unchanged(spark.range(100 + i), p, 0)
+        except T.Conflict:
+            return None
+
+    with ThreadPoolExecutor(6) as pool:
+        got = list(pool.map(write, range(6)))
+    assert sorted(x for x in got if x is not None) == [1] and T.load_current(spark, p)[0].count() == 100 + got.index(1)
+    (tmp_path / "t/_claims/v=2").touch()  # a writer that died
+    with pytest.raises(T.Conflict):
+        T.save_if_unchanged(spark.range(5), p, 1)
+    assert T.save_if_unchanged(spark.range(5), p, 1, stale_after=-1.0) == 2
+
+
+def test_guards_and_bindings(spark):
+    p = spark.createDataFrame([("a", "x+"), ("a", "(("), ("b", " "), ("c", "y")], "s string, p string")
+    assert text_rows(K.broken_guards(p, "s", "p", ["a", "b", "c", "d"])) == [("a", "not a pattern"), ("b", "missing or empty"), ("d", "missing or empty")]
+    df = spark.createDataFrame([(1, 5), (1, 5), (2, 5), (2, None)], "k int, n int")
+    assert text_rows(K.unequal(df, ["k"], ["n"])) == [("2", "n", "2")]
+    with pytest.raises(ValueError):
+        K.require_equal(df, ["k"], ["n"])

@@ -24,6 +24,40 @@ def percentiles(value: str, points: Sequence[float]) -> list[Column]:
     return [F.percentile(value, F.lit(p)).alias(f"p{round(p * 100):02d}") for p in points]
 
 
+def exact_percentiles(df: DataFrame, value: str, keys: Sequence[str], points: Sequence[float], bins: int = 4096) -> DataFrame:
+    """keys and p01, p25 ...: exact percentiles with linear interpolation, also of few very large groups.
+
+    A group's range is cut into ``bins`` equal parts.  Their counts, which combine on the
+    map side, tell in which parts the wanted ranks lie, and only the distinct values of
+    those are sorted.  So no task holds or sorts a whole group.  Nulls do not count.
+    """
+    keys = list(keys)
+    x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    lim = x.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.count("*").alias("__n"))
+    width = (F.col("__hi") - F.col("__lo")) / bins
+    part = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("__v") - F.col("__lo")) / width))).otherwise(F.lit(0)).cast("int")
+    lim_, x_ = lim.alias("l"), x.alias("x")
+    cells = x_.join(lim_, [F.col(f"x.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]).select(*(F.col(f"x.{k}").alias(k) for k in keys), "__v", "__n", part.alias("__part"))
+    counts = cells.groupBy(*keys, "__part").agg(F.count("*").alias("__c"), F.first("__n").alias("__n"))
+    before = F.coalesce(F.sum("__c").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = F.array_distinct(F.flatten(F.array(*(F.array(F.floor((F.col("__n") - 1) * p), F.ceil((F.col("__n") - 1) * p)) for p in points))))
+    counts = counts.withColumn("__before", before).withColumn("__ranks", F.filter(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__c")))).where(F.size("__ranks") > 0)
+    c_, v_ = counts.alias("c"), cells.groupBy(*keys, "__part", "__v").agg(F.count("*").alias("__m")).alias("v")
+    met = v_.join(c_, [*(F.col(f"v.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys), F.col("v.__part") == F.col("c.__part")])
+    met = met.select(*(F.col(f"v.{k}").alias(k) for k in keys), F.col("v.__part").alias("__part"), "__v", "__m", "__before", "__ranks", "__n")
+    upto = F.sum("__m").over(Window.partitionBy(*keys, "__part").orderBy("__v")) + F.col("__before")
+    at = met.withColumn("__upto", upto).withColumn("__hit", F.filter("__ranks", lambda r: (r < F.col("__upto")) & (r >= F.col("__upto") - F.col("__m"))))
+    at = at.select(*keys, "__v", "__n", F.explode("__hit").alias("__rank"))
+
+    def of(p: float) -> Column:
+        r = (F.col("__n") - 1) * p
+        pick = lambda k: F.max(F.when(F.col("__rank") == k, F.col("__v")))
+        low, high, share = pick(F.floor(r)), pick(F.ceil(r)), F.first(r - F.floor(r))
+        return (low + (high - low) * share).alias(f"p{round(p * 100):02d}")
+
+    return at.groupBy(*keys).agg(*(of(p) for p in points))
+
+
 def within(value: Column, limits: Sequence[float]) -> list[Column]:
     """Shares of rows whose absolute value is at most each limit, named within_1 ..."""
     return [F.avg((F.abs(value) <= t).cast("double")).alias(f"within_{t:g}") for t in limits]

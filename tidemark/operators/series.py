@@ -113,8 +113,11 @@ def best_mean_window(df: DataFrame, value: str, keys: Sequence[str], order: str,
 
 def normalised(df: DataFrame, value: str, keys: Sequence[str], low: float = 0.01, high: float = 0.99, top: int = 255, name: str = "level") -> DataFrame:
     """Clip to the group's own percentile range and scale to 0..top, cut to integers; a flat range gives 0."""
-    span = df.groupBy(*keys).agg(F.percentile(value, F.lit(low)).alias("__lo"), F.percentile(value, F.lit(high)).alias("__hi"))
-    x = df.join(span, list(keys))
+    from .metrics import exact_percentiles
+
+    found = exact_percentiles(df, value, keys, (low, high))
+    span = found.select(*(F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)), F.col(found.columns[-2]).alias("__lo"), F.col(found.columns[-1]).alias("__hi"))
+    x = df.join(span, [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)], "left").drop(*(f"__key{i}" for i in range(len(keys))))
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))))
     return x.withColumn(name, F.when(F.col("__hi") - F.col("__lo") < 1e-6, 0).otherwise((share * top).cast("int"))).drop("__lo", "__hi")
 
