@@ -11,12 +11,14 @@ document is contaminated by an item whose best alignment scores at least
 
 Test items are a query set: they go to the executors in blocks of at most
 ``block_words`` words, one pass over the documents a block, so what is broadcast has
-a fixed bound.  Documents are never shuffled.
+a fixed bound.  Documents are never shuffled, and verdicts stay with their rows, so no
+id is needed to bring them together.
 
 Defined results: null and empty texts are clean; items of fewer than ``n`` words are
-too short to recognise and match nothing; equal items are scored each; repeated rows
-are judged each; a row with a null id gets no verdict (it counts as clean); empty tables give clean documents or an empty result; columns other
-than ids and texts are ignored.
+too short to recognise and match nothing; equal items are scored each; repeated rows, rows
+that share an id and rows with a null id are judged each; rows of one item id count as one
+item; empty tables give clean documents or an empty result; columns other than ids and
+texts are ignored by ``judge`` and passed through by ``clean``.
 """
 
 from __future__ import annotations
@@ -25,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernel as K
-from .io import cut, table
+from .io import table
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -144,17 +147,15 @@ def scan(b: K.Block, items: Items, least_score: float) -> list[tuple[int, int, f
     return out
 
 
-def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 3, span: int = 4, least_score: float = 0.5, block_words: int = 1 << 20) -> DataFrame:
-    """id, item_id, score: the best alignment of each document and each item it is contaminated by."""
+def _item_blocks(docs: DataFrame, bench: DataFrame, text_col: str, item_col: str, item_text: str, n: int, span: int, block_words: int) -> Iterator[Broadcast]:
+    """The test items in blocks, with the seeds that are rarest in ``docs``, on every executor."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(text_col).alias("text"))
     items_in = bench.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
     total = items_in.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // 2
     blocks = int(total // block_words) + 1
-    schema = T.StructType([rows.schema["id"], T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType())])
-    out = spark.createDataFrame([], schema)
     for i in range(blocks):
-        got = items_in.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i).orderBy("item", "text").collect()
+        got = items_in.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == i).orderBy("item", "text").collect()
         if not got:
             continue
         items = Items([r["item"] for r in got], [r["text"] for r in got], n)
@@ -170,18 +171,32 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
             at = np.flatnonzero(seen)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["i", "n"])
 
-        counted = rows.select("text").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
+        counted = rows.mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
         frequency = np.zeros(len(items.all), np.int64)
         frequency[counted["i"].to_numpy()] = counted["n"].to_numpy()
         items.choose(frequency, span)
-        shared = spark.sparkContext.broadcast(items)
+        yield spark.sparkContext.broadcast(items)
+
+
+def _best(b: K.Block, items: Items, least_score: float) -> dict[tuple[int, int], float]:
+    """The best score of each (document, item) of a block that match."""
+    best: dict[tuple[int, int], float] = {}
+    for d, k, s in scan(b, items, least_score):
+        best[d, k] = max(s, best.get((d, k), 0.0))
+    return best
+
+
+def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 3, span: int = 4, least_score: float = 0.5, block_words: int = 1 << 20) -> DataFrame:
+    """id, item_id, score: the best alignment of each document and each item it is contaminated by."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = T.StructType([rows.schema["id"], T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType())])
+    out = docs.sparkSession.createDataFrame([], schema)
+    for shared in _item_blocks(docs, bench, text_col, item_col, item_text, n, span, block_words):
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for b in K.blocks(batch["text"], 4 * K.BLOCK_BYTES):
-                    best: dict[tuple[int, int], float] = {}
-                    for d, k, s in scan(b, shared.value, least_score):
-                        best[d, k] = max(s, best.get((d, k), 0.0))
+                    best = _best(b, shared.value, least_score)
                     if best:
                         doc = pa.array([b.rows.start + d for d, _ in best])
                         yield pa.RecordBatch.from_arrays([batch["id"].take(doc), pa.array([shared.value.ids[k] for _, k in best], pa.int64()), pa.array(list(best.values()))], ["id", "item_id", "score"])
@@ -190,17 +205,44 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
     return out.withColumnRenamed("id", id_col)
 
 
-def judge(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One row per document id: contaminated, n_items, best_item (the smallest of equals), best_score."""
-    found = cut(matches(docs, bench, id_col, text_col, **how))
-    best = found.groupBy(id_col).agg(F.count_distinct("item_id").alias("n_items"), F.max_by("item_id", F.struct("score", -F.col("item_id"))).alias("best_item"), F.max("score").alias("best_score"))
-    rows = docs.select(id_col).join(best, id_col, "left")
-    return rows.select(id_col, F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"), "best_item", F.coalesce("best_score", F.lit(0.0)).alias("best_score"))
-
+def judge(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 3, span: int = 4, least_score: float = 0.5, block_words: int = 1 << 20) -> DataFrame:
+    """One row per document: id, contaminated, n_items, best_item (the smallest of equals), best_score."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_items"), F.lit(None).cast("long").alias("best_item"), F.lit(0.0).alias("best_score"))
+    for shared in _item_blocks(docs, bench, text_col, item_col, item_text, n, span, block_words):
 
-def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                count, item, score = (batch[c].to_pylist() for c in ("n_items", "best_item", "best_score"))
+                for b in K.blocks(batch["text"], 4 * K.BLOCK_BYTES):
+                    by_doc: dict[int, dict] = {}
+                    for (d, k), s in _best(b, shared.value, least_score).items():
+                        own, name = by_doc.setdefault(b.rows.start + d, {}), shared.value.ids[k]
+                        own[name] = max(s, own.get(name, 0.0))
+                    for d, own in by_doc.items():
+                        count[d] += len(own)
+                        for name, s in own.items():
+                            if (s, -(name or 0)) > (score[d], -(item[d] or 0)):
+                                score[d], item[d] = s, name
+                yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], pa.array(count, pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["id", "text", "n_items", "best_item", "best_score"])
+
+        rows = rows.mapInArrow(search, rows.schema)
+    return rows.select(F.col("id").alias(id_col), (F.col("n_items") > 0).alias("contaminated"), "n_items", "best_item", "best_score")
+
+
+def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 3, span: int = 4, least_score: float = 0.5, block_words: int = 1 << 20) -> DataFrame:
     """``docs`` without contaminated documents."""
-    return docs.join(cut(matches(docs, bench, id_col, text_col, **how)).select(id_col).distinct(), id_col, "left_anti")
+    out = docs
+    for shared in _item_blocks(docs, bench, text_col, item_col, item_text, n, span, block_words):
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good = np.ones(batch.num_rows, bool)
+                for b in K.blocks(batch[text_col], 4 * K.BLOCK_BYTES):
+                    good[[b.rows.start + d for d, _ in _best(b, shared.value, least_score)]] = False
+                yield batch.filter(pa.array(good))
+
+        out = out.mapInArrow(search, docs.schema)
+    return out
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
