@@ -2,41 +2,17 @@
 
 from __future__ import annotations
 
-import gc
-import os
-import tempfile
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import cut
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["cut", "table", "width"]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint.
-
-    The folder is ``spark.checkpoint.dir``; only where the session has none (tests
-    on one machine) a temporary one is set.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidemark-checkpoints"))
-    return df.checkpoint(eager=True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def width(spark: SparkSession) -> int:
     """Partitions that a key-dealt repartition should have."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of data frames that nothing refers to any more.
-
-    Its cleaner works in the background once the driver has collected its garbage.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.4)

@@ -44,6 +44,8 @@ from . import kernel as K
 from .io import cut, table, width
 
 PERMS, TREES, DEPTHS, REGION = 128, 24, (4, 8, 16, 32), 1024
+#: Shingles, in all members' sets together, up to which a region is decided at once (8 bytes each).
+WEIGHT = 1 << 22
 _rng = np.random.default_rng(7)
 _MUL = _rng.integers(1, 1 << 63, PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _rng.integers(1, 1 << 63, PERMS, dtype=np.uint64)
@@ -81,7 +83,7 @@ def _sums(gram: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, k: int) -> DataFrame:
-    """id, n, h1, h2 (128 bits that name the set) and the signature."""
+    """id, text_hash, n, h1, h2 (128 bits that name the set) and the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,9 +91,9 @@ def _profiles(docs: DataFrame, k: int) -> DataFrame:
                 gram, first = shingle_sets(b, k)
                 sig = signatures(gram, first)
                 raw = pa.Array.from_buffers(pa.binary(), b.n, [None, pa.py_buffer(np.arange(0, (b.n + 1) * PERMS, PERMS, dtype=np.int32)), pa.py_buffer(sig.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch["id"][b.rows.start : b.rows.stop], pa.array(np.diff(first).astype(np.int64)), pa.array(_sums(gram, first, 0x1234567)), pa.array(_sums(gram, first, 0xABCDEF01)), raw], ["id", "n", "h1", "h2", "sig"])
+                yield pa.RecordBatch.from_arrays([batch["id"][b.rows], batch["text_hash"][b.rows], pa.array(np.diff(first).astype(np.int64)), pa.array(_sums(gram, first, 0x1234567)), pa.array(_sums(gram, first, 0xABCDEF01)), raw], ["id", "text_hash", "n", "h1", "h2", "sig"])
 
-    return docs.mapInArrow(run, "id long, n long, h1 long, h2 long, sig binary")
+    return docs.select("*", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "id long, text_hash long, n long, h1 long, h2 long, sig binary")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -116,27 +118,31 @@ def _prefix(tree: int, depth: int) -> F.Column:
 def _regions(classes: DataFrame) -> DataFrame:
     """rep, region, tree, level of every class in a region of at least two members.
 
-    Level -1 are the regions of the first depth that are too large to be compared at once.
+    Level -1 are the regions of the first depth that are too large to be compared at once,
+    by their members or by their members' sets.
     """
     kept = None
     rows = None
     for level, depth in enumerate(DEPTHS):
         if level == 0:
             names = F.array(*(F.struct(F.lit(t).alias("tree"), _prefix(t, depth).alias("region")) for t in range(TREES)))
-            rows = classes.select("rep", F.explode(names).alias("x")).select("rep", "x.tree", "x.region")
+            rows = classes.select("rep", "n", F.explode(names).alias("x")).select("rep", "n", "x.tree", "x.region")
         else:
             by_tree = F.array(*(_prefix(t, depth) for t in range(TREES)))
-            rows = rows.join(classes.select("rep", by_tree.alias("names")), "rep").select("rep", "tree", F.element_at("names", F.col("tree") + 1).alias("region"))
-        sizes = rows.groupBy("region").agg(F.count("*").alias("size"), F.min("rep").alias("low")).where("size > 1")
+            rows = rows.join(classes.select("rep", by_tree.alias("names")), "rep").select("rep", "n", "tree", F.element_at("names", F.col("tree") + 1).alias("region"))
+        sizes = rows.groupBy("region").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("rep").alias("low")).where("size > 1")
         rows = cut(rows.join(sizes, "region"))
-        small = rows.where(F.col("size") <= REGION).select("rep", "tree", "region", F.lit(level).alias("level"))
+        at_once = F.col("size") <= REGION
+        if level == 0:
+            at_once &= F.col("weight") <= WEIGHT
+        small = rows.where(at_once).select("rep", "tree", "region", F.lit(level).alias("level"))
         kept = small if kept is None else kept.union(small)
-        rows = rows.where(F.col("size") > REGION)
+        rows = rows.where(~at_once)
         if level == 0:
             kept = kept.union(rows.select("rep", "tree", "region", F.lit(-1).alias("level")))
         if not rows.limit(1).count():
             return kept
-        rows = rows if level + 1 == len(DEPTHS) else rows.select("rep", "tree", "region")
+        rows = rows if level + 1 == len(DEPTHS) else rows.select("rep", "n", "tree", "region")
     blocks = F.ceil(F.col("size") / REGION)
     block = F.xxhash64("region", F.pmod(F.xxhash64("region", "rep"), blocks))
     low = rows.select(F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("i"), "region", "low", "tree").distinct().select(F.col("low").alias("rep"), "tree", F.xxhash64("region", "i").alias("region"))
@@ -239,12 +245,17 @@ def _dealt(rows: DataFrame) -> DataFrame:
     """Large regions as pairs of blocks in which everybody outside a region's largest component meets every member.
 
     Blocks of outsiders come first, then those of the largest component; blocks p <= q
-    meet if p is one of outsiders.  Regions of one component are left out.
+    meet if p is one of outsiders.  Regions of one component are left out.  There are as
+    many blocks as keep both the members and the shingles of two of them within what a
+    region decided at once may have, on average.
     """
-    sizes = rows.groupBy("region", "component").agg(F.count("*").alias("size"))
-    sizes = sizes.groupBy("region").agg(F.sum("size").alias("size"), F.max("size").alias("most"), F.max_by("component", F.struct("size", "component")).alias("top")).where("most < size")
-    half = max(1, REGION // 2)
-    blocks = sizes.select("region", "top", F.ceil((F.col("size") - F.col("most")) / half).alias("out"), F.ceil(F.col("most") / half).alias("in"))
+    sizes = rows.groupBy("region", "component").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    top = F.max_by(F.struct("component", "size", "weight"), F.struct("size", "component"))
+    sizes = sizes.groupBy("region").agg(F.sum("size").alias("size"), F.sum("weight").alias("weight"), top.alias("most")).where("most.size < size")
+    half, heavy = max(1, REGION // 2), max(1, WEIGHT // 2)
+    deal = lambda size, weight: F.greatest(F.ceil(size / half), F.least(size, F.ceil(weight / heavy)))
+    outside = deal(F.col("size") - F.col("most.size"), F.col("weight") - F.col("most.weight"))
+    blocks = sizes.select("region", F.col("most.component").alias("top"), outside.alias("out"), deal(F.col("most.size"), F.col("most.weight")).alias("in"))
     salted = F.xxhash64("region", "rep")
     outside = F.col("component") != F.col("top")
     rows = rows.join(blocks, "region").withColumn("block", F.when(outside, F.pmod(salted, F.col("out"))).otherwise(F.col("out") + F.pmod(salted, F.col("in"))))
@@ -347,6 +358,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Links hold where 100 * intersection >= percent * union of the full sets.
     """
+    return _judged(docs, id_col, text_col, k, percent).withColumnRenamed("id", id_col).drop("text_hash")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """id, text_hash, n_shingles, component_id, kept of every row."""
     spark = docs.sparkSession
     parts = width(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -388,15 +404,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.select("h1", "h2", "id").join(labels2.withColumnRenamed("node", "h1"), "h1", "left").select("h1", "h2", "id", F.coalesce("component", "h1").alias("component"))
     lowest = named.groupBy("component").agg(F.min("id").alias("lowest"))
     named = named.join(lowest, "component").select("h1", "h2", "lowest")
-    out = rows.select("id", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
+    out = rows.select("id", "text_hash", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("lowest", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+    out = out.select("id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, the one with the smallest id."""
-    kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("__kept")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, the one with the smallest id.
+
+    Rows are told apart by id and text, so a row that only shares its id with a kept one goes.
+    """
+    lost = _judged(docs, id_col, text_col, k, percent).where("NOT kept").select(F.col("id").alias("__lost"), "text_hash").distinct()
+    same = (F.col(id_col).cast("long") == F.col("__lost")) & (F.xxhash64(F.col(text_col)) == F.col("text_hash"))
+    return docs.join(lost, same, "left_anti")
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
