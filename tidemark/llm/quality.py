@@ -1,11 +1,13 @@
 """Quality classifier: regularised quadratic discriminant analysis.
 
 Each text becomes a handful of transformed statistics (logs and logits of shares).
-Per class the mean and the covariance are summed up by Spark over *all* labelled rows;
-the covariance is shrunk towards a multiple of the identity (Ledoit and Wolf's
-intensity, and at least ``least_shrinkage``).  The score is the logistic of the
+Spark sums up over *all* labelled rows, first the means of the classes and the pooled
+spread of each statistic, then, around the class means and in units of that spread, the
+covariances.  Each covariance is shrunk towards a multiple of the identity (Ledoit and
+Wolf's intensity, and at least ``least_shrinkage``).  The score is the logistic of the
 difference of the classes' Gaussian log densities plus the log of the class prior;
-each density is a Mahalanobis distance by a Cholesky factor that is computed once.
+each density is a Mahalanobis distance by a Cholesky factor that is taken and inverted
+once.
 
 Defined results: null text is empty text, which is scored like any other; unlabelled
 rows are scored only; with one class or none every score is that class's share (0.5
@@ -15,7 +17,7 @@ empty table gives an empty result; columns other than those named are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +40,8 @@ FEATURES = ("word_length", "word_spread", "line_words", "upper", "digits", "punc
 
 
 #: What is assumed of ordinary text before any is seen: the share, and the number of units that this counts for.
-#: Short texts stay near it, so that they are judged by evidence and not by noise.
+#: Short texts stay near it, so that they are judged by evidence and not by noise.  The shares are round figures
+#: chosen for running prose, not fitted; with a few hundred words they hardly matter.
 ORDINARY = {"upper": (0.03, 100), "digits": (0.003, 100), "punctuation": (0.004, 100), "stops": (0.013, 100), "repeated_words": (0.01, 30), "repeated_lines": (0.01, 5), "top_word": (0.06, 30), "distinct_words": (0.8, 30)}
 
 
@@ -94,62 +97,75 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 @dataclass
 class Model:
     means: np.ndarray  # 2 x features
-    factors: np.ndarray  # lower Cholesky factors of the shrunk covariances
+    scale: np.ndarray  # of each feature
+    factors: np.ndarray  # inverse Cholesky factors of the shrunk covariances of the scaled features
     priors: np.ndarray
+    shares: tuple[float, float] = (0.0, 0.0)  # how far each covariance was shrunk
     constant: float | None = None
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(x), self.constant)
         logs = []
-        for mean, factor, prior in zip(self.means, self.factors, self.priors):
-            z = np.linalg.solve(factor, (x - mean).T)
-            logs.append(np.log(prior) - np.log(np.diag(factor)).sum() - 0.5 * (z * z).sum(0))
+        for mean, inverse, prior in zip(self.means, self.factors, self.priors):
+            z = inverse @ ((x - mean) / self.scale).T
+            logs.append(np.log(prior) + np.log(np.diag(inverse)).sum() - 0.5 * (z * z).sum(0))
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
 
 
+def _totals(rows: DataFrame, size: int, of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows of a vector that ``of`` makes of a batch's statistics and labels."""
+    d = len(FEATURES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += of(batch["x"].flatten().to_numpy().reshape(-1, d), batch["label"].to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["i", "v"])
+
+    got = rows.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+    out = np.zeros(size)
+    out[got["i"].to_numpy()] = got["v"].to_numpy()
+    return out
+
+
 def fit(labelled: DataFrame, least_shrinkage: float = 0.02) -> Model:
     """``labelled``: x array<double>, label 0 or 1.
 
     Every row counts.  Each task sums its own moments (a few hundred numbers a class),
-    so neither rows nor classes meet in one place.
+    so neither rows nor classes meet in one place.  The rows are read twice.
     """
     d = len(FEATURES)
+    rows = labelled.select("x", F.col("label").cast("int").alias("label")).where("label IN (0, 1)")
 
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s, c, q = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d)), np.zeros(2)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = batch["x"].flatten().to_numpy().reshape(-1, d)
-            y = batch["label"].to_numpy()
-            for k in (0, 1):
-                v = x[y == k]
-                n[k] += len(v)
-                s[k] += v.sum(0)
-                c[k] += v.T @ v
-                q[k] += ((v * v).sum(1) ** 2).sum()
-        flat = np.concatenate([n, s.ravel(), c.ravel(), q])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["i", "v"])
-
-    got = labelled.select("x", F.col("label").cast("int").alias("label")).where("label IN (0, 1)").mapInArrow(moments, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
-    flat = np.zeros(4 + 2 * d + 2 * d * d)
-    flat[got["i"].to_numpy()] = got["v"].to_numpy()
+    def first(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        parts = [x[y == k] for k in (0, 1)]
+        return np.concatenate([[len(v) for v in parts], *(v.sum(0) for v in parts), (x * x).sum(0)])
+
+    flat = _totals(rows, 2 + 3 * d, first)
     n, s = flat[:2], flat[2 : 2 + 2 * d].reshape(2, d)
-    c = flat[2 + 2 * d : 2 + 2 * d + 2 * d * d].reshape(2, d, d)
     if (n < 2).any():
-        return Model(s, c, n, 0.5 if not n.sum() else float(n[1] / n.sum()))
+        return Model(s, np.ones(d), s, n, constant=0.5 if not n.sum() else float(n[1] / n.sum()))
     means = s / n[:, None]
-    factors = []
+    spread = np.sqrt((flat[2 + 2 * d :] / n.sum() - (s.sum(0) / n.sum()) ** 2).clip(0))
+    scale = np.where(spread > 1e-9, spread, 1.0)
+
+    def second(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        parts = [(x[y == k] - means[k]) / scale for k in (0, 1)]
+        return np.concatenate([*((v.T @ v).ravel() for v in parts), [((v * v).sum(1) ** 2).sum() for v in parts]])
+
+    flat = _totals(rows, 2 * d * d + 2, second)
+    factors, shares = [], []
     for k in (0, 1):
-        cov = c[k] / n[k] - np.outer(means[k], means[k])
+        cov = flat[k * d * d : (k + 1) * d * d].reshape(d, d) / n[k]
         level = np.trace(cov) / d
         away = ((cov - level * np.eye(d)) ** 2).sum()
-        raw = c[k] / n[k]
-        noise = max(0.0, flat[k - 2] / n[k] - (raw * raw).sum()) / n[k]  # expected squared error of the second moments
+        noise = max(0.0, flat[k - 2] / n[k] - (cov * cov).sum()) / n[k]  # expected squared error of the covariance
         share = min(1.0, max(least_shrinkage, noise / away if away > 0 else 1.0))
-        factors.append(np.linalg.cholesky((1 - share) * cov + (share * level + 1e-6) * np.eye(d)))
-    return Model(means, np.array(factors), n / n.sum())
+        factors.append(np.linalg.inv(np.linalg.cholesky((1 - share) * cov + (share * level + 1e-6) * np.eye(d))))
+        shares.append(share)
+    return Model(means, scale, np.array(factors), n / n.sum(), tuple(shares))
 
 
 def score(measured: DataFrame, model: Model, cut_at: float = 0.7) -> DataFrame:
