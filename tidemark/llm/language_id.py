@@ -5,8 +5,10 @@ Text is lower-cased, everything but letters becomes one boundary mark, and 1- to
 logarithm, weighted by inverse document frequency (counted over *all* training
 documents) and scaled to unit length.  Weights are learned by
 follow-the-regularised-leader with L1 and L2 penalties, which leaves most of them at
-exactly zero, on a bounded sample per language (``per_language`` documents, by hash of
-the id); a tenth of the sample is held back to fit one softmax temperature.
+exactly zero (only the others are kept), on a bounded sample per language
+(``per_language`` documents, by hash of the id); a tenth of the sample is held back to
+fit one softmax temperature.  Texts are counted by the block; a language is a class, and
+more than ``most_languages`` of them are an error, as the model grows with their number.
 
 Defined results: null text or text without a letter is ``und`` with score 0; with no
 training document everything is ``und``; rows without a language are predicted but
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from .io import table
 
 BUCKETS = 1 << 15
+_MUL = np.int64(0x5851F42D4C957F2D)
 _ALPHA: np.ndarray | None = None
 
 
@@ -49,12 +52,11 @@ def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return none, none
     c = np.concatenate([[0], c, [0]])
     c = c[(c != 0) | np.concatenate([[True], c[:-1] != 0])]  # one mark between words
-    mul = np.int64(0x5851F42D4C957F2D)
     one = c[c != 0]
     two = c[:-1] * 0x110000 + c[1:]
     three = two[:-1] * 0x1F35 + c[2:] + (1 << 50)
     with np.errstate(over="ignore"):
-        h = np.concatenate([one, two + (1 << 45), three]) * mul
+        h = np.concatenate([one, two + (1 << 45), three]) * _MUL
     count = np.bincount(((h >> 40) & (BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
     at = np.flatnonzero(count)
     return at, count[at]
@@ -66,18 +68,64 @@ def weigh(at: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / norm if norm else v
 
 
+#: Texts, and characters unless one text is longer, that are counted in one go.
+CHUNK_TEXTS, CHUNK_CHARS = 64, 1 << 18
+
+
+def chunk_counts(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Counts of all texts as matrices (texts x buckets), some texts at a time; a text without letters has zeros."""
+    at = 0
+    while at < len(texts):
+        part, size = [], 0
+        while at < len(texts) and len(part) < CHUNK_TEXTS and (not part or size + len(texts[at] or "") <= CHUNK_CHARS):
+            size += len(texts[at] or "")
+            part.append((texts[at] or "").lower())
+            at += 1
+        c = np.frombuffer(("\0" + "\0\0".join(part) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        c = np.where(_letters()[c], c, 0)
+        doc = np.repeat(np.arange(len(part)), [len(t) + 2 for t in part])
+        begin = np.ones(len(c), bool)
+        begin[1:] = doc[1:] != doc[:-1]
+        keep = begin | (c != 0)
+        keep[1:] |= c[:-1] != 0  # one mark between words
+        c, doc = c[keep], doc[keep]
+        two = c[:-1] * 0x110000 + c[1:]
+        three = two[:-1] * 0x1F35 + c[2:] + (1 << 50)
+        grams = (c[c != 0], two[doc[1:] == doc[:-1]] + (1 << 45), three[doc[2:] == doc[:-2]])
+        owner = np.concatenate([doc[c != 0], doc[1:][doc[1:] == doc[:-1]], doc[2:][doc[2:] == doc[:-2]]])
+        with np.errstate(over="ignore"):
+            h = np.concatenate(grams) * _MUL
+        cell = owner * BUCKETS + ((h >> 40) & (BUCKETS - 1))
+        count = np.bincount(cell, minlength=len(part) * BUCKETS).reshape(len(part), BUCKETS)
+        count[np.bincount(doc[c != 0], minlength=len(part)) == 0] = 0
+        yield count
+
+
 @dataclass
 class Model:
     classes: list[str]
     idf: np.ndarray
-    weights: np.ndarray  # classes x buckets, mostly zero
+    used: np.ndarray  # buckets in which some class has a weight
+    weights: np.ndarray  # classes x used
     bias: np.ndarray
     temperature: float
 
-    def probabilities(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
-        z = (self.weights[:, at] @ weigh(at, count, self.idf) + self.bias) / self.temperature
-        z = np.exp(z - z.max())
-        return z / z.sum()
+    def logits(self, counts: np.ndarray) -> np.ndarray:
+        """Texts x classes, before calibration."""
+        row, at = np.nonzero(counts)
+        v = (1 + np.log(counts[row, at])) * self.idf[at]
+        norm = np.sqrt(np.bincount(row, v * v, minlength=len(counts)))
+        x = np.zeros((len(counts), len(self.used)))
+        place = np.full(BUCKETS, -1)
+        place[self.used] = np.arange(len(self.used))
+        hit = place[at] >= 0
+        x[row[hit], place[at[hit]]] = v[hit] / norm[row[hit]]
+        return x @ self.weights.T + self.bias
+
+    def probabilities(self, counts: np.ndarray) -> np.ndarray:
+        z = self.logits(counts) / self.temperature
+        z = np.exp(z - z.max(1, keepdims=True))
+        return z / z.sum(1, keepdims=True)
 
 
 def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.05, l2: float = 0.05, passes: int = 3, seed: int = 1) -> Model:
@@ -108,8 +156,9 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray, alph
             z[:, at1] += g - (np.sqrt(new) - np.sqrt(old)) / alpha * w
             n[:, at1] = new
     w = leader(np.arange(BUCKETS + 1))
-    model = Model(classes, idf, np.ascontiguousarray(w[:, :-1]), w[:, -1].copy(), 1.0)
-    rows = [(model.weights[:, at] @ weigh(at, c, idf) + model.bias, code[y]) for at, c, y in held]
+    used = np.flatnonzero(w[:, :-1].any(0))
+    model = Model(classes, idf, used, np.ascontiguousarray(w[:, used]), w[:, -1].copy(), 1.0)
+    rows = [(w[:, at] @ weigh(at, c, idf) + model.bias, code[y]) for at, c, y in held]
     if rows:
         s, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
 
@@ -126,21 +175,20 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray, alph
     return model
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400) -> Model | None:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400, most_languages: int = 256) -> Model | None:
     """A model of the languages in ``docs``; None if there is nothing to learn from.
 
     Document frequencies come from every row (one vector of counts per task leaves the
-    executors).  The sample is bounded by ``per_language``, the number of languages by
-    the label's vocabulary.
+    executors).  The sample is bounded by ``per_language`` times ``most_languages``.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, total = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for text in batch["text"]:
-                df[gram_counts(text.as_py())[0]] += 1
-                total += 1
+            for count in chunk_counts(batch["text"].to_pylist()):
+                df += (count > 0).sum(0)
+                total += len(count)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], total))], ["bucket", "df"])
 
@@ -152,7 +200,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not total:
         return None
     idf = np.log((1 + total) / (1 + df)) + 1
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()}
+    if len(sizes) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     share = None  # of a language's rows that are taken, by hash of the id, with some room
     for lang, n in sizes.items():
         part = F.lit(min(1.0, 1.5 * per_language / n + 20.0 / n))
@@ -173,20 +223,21 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its calibrated probability.  Nothing is shuffled."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # classes x buckets, a fixed size
-
-    def one(text: str | None) -> tuple[str, float]:
-        m = shared.value
-        at, count = gram_counts(text)
-        if m is None or not len(at):
-            return "und", 0.0
-        p = m.probabilities(at, count)
-        return m.classes[int(p.argmax())], float(p.max())
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages and buckets
 
     @F.pandas_udf("lang string, score double")
     def guess(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(t) for t in texts], columns=["lang", "score"])
+        m = shared.value
+        lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+        at = 0
+        for count in chunk_counts(texts.tolist()) if m is not None else ():
+            known = np.flatnonzero(count.any(1))
+            if len(known):
+                p = m.probabilities(count[known])
+                best = p.argmax(1)
+                lang[at + known], score[at + known] = np.array(m.classes, object)[best], p[np.arange(len(known)), best]
+            at += len(count)
+        return pd.DataFrame({"lang": lang, "score": score})
 
     cols = [c for c in docs.columns if c not in (lang_name, score_name)]
     return docs.select(*cols, guess(F.col(text_col)).alias("__guess")).select(*cols, F.col("__guess.lang").alias(lang_name), F.col("__guess.score").alias(score_name))
