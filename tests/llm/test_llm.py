@@ -66,6 +66,27 @@ def test_kernel_slices():
     assert len(set(b.hashes(s, e).tolist())) == 5
 
 
+def thue_morse(n, a, b):
+    return "".join((a, b)[i.bit_count() & 1] for i in range(n))
+
+
+def test_kernel_tells_thue_morse_strings_apart(spark):
+    """Such strings agree under any polynomial modulo a power of two."""
+    texts = [thue_morse(n, *ab) for n in (1024, 2048, 4096) for ab in ("ab", "ba", "xy", "yx")]
+    b = next(kernel.blocks(pa.array(texts)))
+    assert len(set(b.hashes(b.off[:-1], b.off[1:]).tolist())) == len(texts)
+    one, two = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    rows = [(i, f"{one}\nown {i}", "en", f"s{i}") for i in range(9)] + [(100 + i, f"{two}\nown {i}", "en", f"t{i}") for i in range(3)]
+    assert line_dedup.remove_lines(table(spark, rows), min_sites=10).agg(F.sum("n_removed")).first()[0] == 0
+    pair = [(1, " ".join([one] * 9), "en", "s"), (2, " ".join([two] * 9), "en", "s")]
+    assert {r["component_id"] for r in near_dedup.near_duplicates(table(spark, pair), k=3, percent=85).collect()} == {1, 2}
+    tok = packing.PieceTokenizer(packing.default_tokenizer())
+    ids, first, _ = tok.encode(next(kernel.blocks(pa.array([one, two]))))
+    assert [tok.own.decode(ids[x:y].tolist()) for x, y in zip(first[:-1], first[1:])] == [one, two]
+    got = {x["doc_id"]: tuple(x)[1:] for x in substring_dedup.remove_repeats(table(spark, pair), with_text=False).collect()}
+    assert got == brute_substrings(pair, 100)
+
+
 def test_host_rules(odd, none, spark):
     got = by_id(host_rules.judge(odd))
     assert len(got[1]) == 2 and got[4][0]["n_words"] == 0 and got[4][0]["base_failed"] and len(got[None]) == 2
@@ -186,12 +207,47 @@ def test_near_duplicates_meet_every_candidate_once(spark, monkeypatch):
     assert len(want) > 1000 and got == dict.fromkeys(want, 1)
 
 
+def test_near_duplicates_heavy_sets(spark, monkeypatch):
+    """Regions whose sets are too large to be held at once are dealt into blocks; nothing is lost by that."""
+    monkeypatch.setattr(near_dedup, "WEIGHT", 900)
+    rows = star(17, 40) + [(1000 + i, t, g, s) for i, t, g, s in star(18, 12)]
+    want = brute_near(rows, 3, 85)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in near_dedup.near_duplicates(table(spark, rows), k=3, percent=85).collect()}
+    assert got == want and len({c for _, c in want.values()}) == 2
+
+
+def test_near_duplicates_planted_in_a_dense_region(spark):
+    """Members of a dense region that are alike by chance, with pairs just above the threshold, at the real limit."""
+    r = random.Random(21)
+    base = words(21, 400)
+
+    def variant(of, swaps, tag):
+        v = list(of)
+        for at in r.sample(range(len(v)), swaps):
+            v[at] = f"{tag}x{at}"
+        return v
+
+    rows, planted = [], {}
+    for i in range(1, 1501):
+        rows.append((i, variant(base, 17, f"o{i}")))
+    for i in range(1, 1501, 8):
+        copy = variant(rows[i - 1][1], 9, f"c{i}")
+        rows.append((10000 + i, copy))
+        planted[10000 + i] = i
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(table(spark, [(i, " ".join(w), "en", "s") for i, w in rows]), k=1, percent=85).collect()}
+    sets = {i: set(w) for i, w in rows}
+    links = [(a, b) for a, b in planted.items() if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert len(links) > 150 and all(got[a] == got[b] for a, b in links)
+
+
 def test_near_duplicates_odd(odd, none):
     got = by_id(near_dedup.near_duplicates(odd))
     assert {r["component_id"] for i in (1, 2, 3) for r in got[i]} == {1} and [r["kept"] for r in got[2]] == [False]
     assert got[9][0]["component_id"] == 7 and got[4][0]["component_id"] == 4 and got[4][0]["n_shingles"] == 0 and got[5][0]["kept"]
     assert all(r["component_id"] is None and r["kept"] for r in got[None]) and got[10][0]["n_shingles"] == 1
     kept = near_dedup.keep_one(odd)
+    both = table(odd.sparkSession, [(1, "a b c d e f", "en", "s"), (2, "a b c d e f", "en", "s"), (2, "one of its own", "en", "s")])
+    assert sorted((r[0], r[1]) for r in near_dedup.keep_one(both).collect()) == [(1, "a b c d e f"), (2, "one of its own")]
     assert kept.columns == odd.columns and sorted(str(r[0]) for r in kept.collect()) == sorted(map(str, [1, 1, 4, 5, 6, 7, None, None, 8, 10]))
     assert near_dedup.near_duplicates(none).count() == 0
 
@@ -228,6 +284,45 @@ def test_substrings_equal_brute_force(spark):
     assert got == brute_substrings(rows, 100)
 
 
+@pytest.mark.parametrize("most", [1, 3, 1000])
+def test_substrings_of_hot_triggers(spark, most):
+    """One passage in every text: its edges' triggers have a phrase a text, which go by strings beyond ``most``."""
+    r = random.Random(4)
+    common = " ".join(words(77, 30))
+    rows = []
+    for i in range(1, 41):
+        near = common if i % 5 else common[:90] + f"{i}" + common[90:]
+        rows.append((i * 3, " ".join(words(i, r.randrange(25))) + (" " if i % 2 else "") + near[: r.randrange(120, 200)] + " ".join(words(-i, 5)) + common[30:160], "en", "s"))
+    got = {x["doc_id"]: tuple(x)[1:] for x in substring_dedup.remove_repeats(table(spark, rows).repartition(5), with_text=False, most_phrases=most).collect()}
+    assert got == brute_substrings(rows, 100)
+
+
+def test_dictionary_decides_in_byte_order():
+    """Every start of random phrases of few letters, zero bytes among them, against all pairs."""
+    r = np.random.default_rng(1)
+    length, reach = 12, 7
+    for _ in range(30):
+        m = int(r.integers(2, 40))
+        trigger = bytes([9, 9])
+        group, ids, tag, start = r.integers(0, 3, m), r.integers(0, 6, m), np.zeros(m, np.int64), np.arange(m) * 100
+        lead = r.integers(0, reach, m)
+        count = np.array([r.integers(1, x + 2) for x in lead])
+        raw = []
+        for a, n in zip(lead, count):
+            v = r.integers(0, 2, n - 1 + length).astype(np.uint8)
+            v[a : a + 2] = list(trigger)
+            raw.append(v.tobytes())
+        off = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+        got = substring_dedup.decide(group, ids, tag, start, lead, count, np.frombuffer(b"".join(raw), np.uint8), off, length, reach)
+        seen = [(ids[p], start[p] + i, (group[p], lead[p] - i, raw[p][i : i + length])) for p in range(m) for i in range(count[p])]
+        want = np.zeros_like(got)
+        for p in range(m):
+            for i in range(count[p]):
+                s = (group[p], lead[p] - i, raw[p][i : i + length])
+                want[p, i] = any(k == s and (d, at) < (ids[p], start[p] + i) for d, at, k in seen)
+        assert (got == want).all()
+
+
 def test_substrings_odd(odd, none):
     got = by_id(substring_dedup.remove_repeats(odd))
     assert all(r["n_removed"] == 0 for r in got[1] + got[None] + got[4] + got[7]) and got[2][0]["n_removed"] == got[2][0]["n_bytes"]
@@ -331,7 +426,15 @@ def test_decontamination_odd(odd, none, spark):
     got = by_id(decontaminate.judge(odd, bench))
     assert [r["contaminated"] for r in got[1]] == [True, True] and got[4][0]["contaminated"] is False and got[7][0]["contaminated"] is False
     assert decontaminate.judge(none, bench).count() == 0 and decontaminate.judge(odd, bench.where("false")).where("contaminated").count() == 0
-    assert decontaminate.clean(odd, bench).columns == ["doc_id", *odd.columns[1:]]
+    assert [r["contaminated"] for r in got[None]] == [True, False] or [r["contaminated"] for r in got[None]] == [False, True]
+    kept = decontaminate.clean(odd, bench)
+    assert kept.columns == odd.columns and sorted(str(r[0]) for r in kept.collect()) == sorted(map(str, [4, 5, 6, 7, None, 8, 9, 10]))
+    shared = table(spark, [(1, " ".join(words(1, 120)), "en", "s"), (1, "nothing of it", "en", "s")])
+    assert sorted(r["contaminated"] for r in decontaminate.judge(shared, bench).collect()) == [False, True]
+    two = spark.createDataFrame([(1, " ".join(words(1, 30))), (1, " ".join(words(1, 60)[30:])), (2, " ".join(words(1, 90)[60:])), (None, " ".join(words(1, 120)[90:]))], "item_id long, text string")
+    for block in (1 << 20, 30):
+        r = decontaminate.judge(odd.where("doc_id = 2"), two, block_words=block).first()
+        assert r["n_items"] == 3 and r["best_item"] in (1, None) and r["best_score"] == 1.0
 
 
 def test_line_dedup(spark, odd, none):
@@ -343,6 +446,13 @@ def test_line_dedup(spark, odd, none):
     got = line_dedup.remove_lines(table(spark, wide), min_sites=1490).agg(F.sum("n_removed")).first()[0]
     assert got == 1499  # 1500 sites, which the sketch alone could not tell from 1490
     assert line_dedup.remove_lines(table(spark, wide), min_sites=1501).agg(F.sum("n_removed")).first()[0] == 0
+    for listed in (0, 1, 1 << 20):  # by joins and by lists
+        for sites in (7, 8):
+            df = line_dedup.remove_lines(table(spark, many), min_sites=sites, most_listed=listed)
+            assert df.agg(F.sum("n_removed"), F.count("*")).first()[:] == ((198 if sites == 7 else 0), 200)
+        assert line_dedup.remove_lines(table(spark, wide), min_sites=1490, most_listed=listed).agg(F.sum("n_removed")).first()[0] == 1499
+        nameless = line_dedup.remove_lines(odd.withColumn("doc_id", F.lit(None).cast("long")), min_sites=1, most_listed=listed)
+        assert nameless.agg(F.sum("n_removed"), F.count("*")).first()[:] == (0, 13)
     kept = by_id(line_dedup.remove_lines(odd, min_sites=2))
     assert kept[4][0]["text"] is None and kept[6][0]["text"] == " \n\t " and len(kept[None]) == 2 and kept[2][0]["text"] == "" and kept[1][0]["n_removed"] == 0
     assert line_dedup.remove_lines(none).count() == 0
@@ -407,7 +517,63 @@ def test_language_id_odd(odd, none):
     got = by_id(language_id.predict(odd, model))
     assert got[4][0]["lang_pred"] == got[5][0]["lang_pred"] == got[6][0]["lang_pred"] == "und" and got[3][0]["lang_pred"] in ("en", "fr") and len(got[None]) == 2
     assert language_id.predict(odd, language_id.train(none)).where("lang_pred <> 'und'").count() == 0 and language_id.predict(none, model).count() == 0
-    assert (model.weights == 0).mean() > 0.5
+    assert len(model.used) < language_id.BUCKETS / 2
+    with pytest.raises(ValueError, match="languages"):
+        language_id.train(odd, most_languages=1)
+
+
+def test_language_id_counts_by_the_block():
+    texts = ["", None, "12 34", "Hello,  World\n\nagain", "ÇA VA? Straße ΟΔΟΣ", "a", " a", "x" * 300000, "日本 語 Ünï", *(" ".join(words(i, 30)) for i in range(150))]
+    rows = np.concatenate(list(language_id.chunk_counts(texts)))
+    assert len(rows) == len(texts)
+    for row, t in zip(rows, texts):
+        at, count = language_id.gram_counts(t)
+        assert np.flatnonzero(row).tolist() == at.tolist() and row[at].tolist() == count.tolist()
+
+
+def test_language_id_equals_a_plain_loop():
+    """Follow-the-regularised-leader coordinate by coordinate, and the temperature by a fine grid."""
+    import math
+
+    r = random.Random(4)
+    samples = [(*language_id.gram_counts(" ".join(r.choice(v) for _ in range(8))), y) for _ in range(60) for y, v in (("a", ["ana", "bana", "tam"]), ("b", ["tom", "bono", "ana"]))]
+    idf = np.linspace(1, 2, language_id.BUCKETS)
+    alpha, beta, l1, l2 = 1.0, 1.0, 0.05, 0.05
+    got = language_id.fit(samples, idf, alpha, beta, l1, l2, passes=2, seed=3)
+    order = np.random.default_rng(3).permutation(len(samples))
+    held, learn = [samples[i] for i in order[:12]], [samples[i] for i in order[12:]]
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(k):
+        return 0.0 if abs(z[k]) <= l1 else -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    def features(at, count):
+        v = {int(i): (1 + math.log(c)) * idf[i] for i, c in zip(at, count)}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {i: x / norm for i, x in v.items()} | {-1: 1.0}
+
+    for _ in range(2):
+        for at, count, y in learn:
+            x = features(at, count)
+            w = {(c, i): weight((c, i)) for c in "ab" for i in x}
+            s = {c: sum(w[c, i] * x[i] for i in x) for c in "ab"}
+            total = sum(math.exp(v) for v in s.values())
+            for c in "ab":
+                slope = math.exp(s[c]) / total - (c == y)
+                for i in x:
+                    g = slope * x[i]
+                    z[c, i] += g - (math.sqrt(n[c, i] + g * g) - math.sqrt(n[c, i])) / alpha * w[c, i]
+                    n[c, i] += g * g
+    dense = np.zeros((2, language_id.BUCKETS))
+    dense[:, got.used] = got.weights
+    for j, c in enumerate("ab"):
+        assert got.bias[j] == pytest.approx(weight((c, -1)))
+        for i in range(0, language_id.BUCKETS, 7):
+            assert dense[j, i] == pytest.approx(weight((c, i)), abs=1e-9)
+    logits = [({c: sum(weight((c, i)) * v for i, v in features(at, count).items()) for c in "ab"}, y) for at, count, y in held]
+    loss = lambda t: sum(math.log(sum(math.exp(v / t) for v in s.values())) - s[y] / t for s, y in logits)
+    grid = np.exp(np.linspace(math.log(0.25), math.log(20), 4000))
+    assert loss(got.temperature) <= min(loss(t) for t in grid) + 1e-6
 
 
 def test_quality_held_out(spark):
@@ -416,6 +582,33 @@ def test_quality_held_out(spark):
     assert (got["predicted"] == got["quality"]).mean() > 0.9 and (got[got.quality == 0]["predicted"] == 0).mean() > 0.9
 
 
+def test_quality_equals_the_densities(spark):
+    """Scores from Gaussian densities written out with determinants and inverses, shrunk by the formula over single rows."""
+    r = np.random.default_rng(5)
+    d = len(quality.FEATURES)
+    mix = r.normal(size=(2, d, d))
+    y = (r.random(300) < 0.4).astype(int)
+    x = np.stack([mix[k] @ r.normal(size=d) * 3 + 5 * k + 100 for k in y])
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, y))], "id long, x array<double>, label int").repartition(7)
+    model = quality.fit(df)
+    scale = x.std(0)
+    logs, shares = [], []
+    for k in (0, 1):
+        own = (x[y == k] - x[y == k].mean(0)) / scale
+        cov = sum(np.outer(v, v) for v in own) / len(own)
+        level = np.trace(cov) / d
+        noise = sum(((np.outer(v, v) - cov) ** 2).sum() for v in own) / len(own) ** 2
+        share = min(1.0, max(0.02, noise / ((cov - level * np.eye(d)) ** 2).sum()))
+        shrunk = (1 - share) * cov + (share * level + 1e-6) * np.eye(d)
+        far = (x - x[y == k].mean(0)) / scale
+        logs.append(np.log((y == k).mean()) - 0.5 * np.log(np.linalg.det(shrunk)) - 0.5 * np.einsum("ni,ij,nj->n", far, np.linalg.inv(shrunk), far))
+        shares.append(share)
+    want = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
+    got = {q["id"]: q["score"] for q in quality.score(df, model).collect()}
+    assert model.shares == pytest.approx(shares) and 0.02 < min(shares) < 1
+    assert [got[i] for i in range(300)] == pytest.approx(want.tolist(), abs=1e-9)
+
+
 def test_quality_odd(odd, none):
     x = quality.measure(odd)
     assert x.count() == 13 and quality.measure(none).count() == 0
