@@ -3,7 +3,8 @@
 The automaton walks each lower-cased url once; a term counts where no ASCII letter
 or digit touches it on either side.  One strict term, or soft terms whose distinct
 weights reach the limit, reject the url.  Rules of host and path come first: the
-longest rule that fits decides.
+longest rule that fits decides (of equally long ones the first given).  The vocabulary is
+read from a file on the driver.
 
 Defined results: a null url, or one without ``://``, has empty host and path; a
 null url hits nothing; repeated rows are judged each; an empty table gives an empty
@@ -13,16 +14,26 @@ result; columns other than id and url are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Term weights: a url is rejected from a sum of 1 over its distinct terms.
-STRICT = ("spam-farm", "casino", "porn", "xxx", "viagra", "warez", "phishing", "malware", "escort", "torrent")
-SOFT = ("adult", "betting", "bonus", "cheap", "clickbait", "dating", "gambling", "jackpot", "loan", "pills", "poker", "replica", "sexy", "slots", "spam", "track", "winner")
-VOCABULARY = {t: 1.0 for t in STRICT} | {t: 0.5 for t in SOFT}
+
+
+def read_vocabulary(path: str | Path | None = None) -> dict[str, float]:
+    """Terms and weights of a file of lines ``weight = term term ...``; the one that comes with this module by default."""
+    out: dict[str, float] = {}
+    for line in Path(path or Path(__file__).with_name("url_terms.txt")).read_text(encoding="utf-8").splitlines():
+        if line.strip() and not line.startswith("#"):
+            weight, terms = line.split("=", 1)
+            out |= {t.lower(): float(weight) for t in terms.split()}
+    return out
+
+
+VOCABULARY = read_vocabulary()
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
