@@ -6,8 +6,10 @@ ends).  Known licence sentences are those that begin and end at marks; they may
 over line ends, with comment signs there or not, but not over a sentence's end.
 The identifiers found, in text order, are matched against ordered rules: a rule holds
 if its identifiers occur in that order with anything between them, and the first rule
-that holds names the licence.  Texts without any of ``KEYWORDS`` (every known sentence
-has one) skip that.  Nothing is shuffled and no Python runs on the executors.
+that holds names the licence; all licences of which a rule holds are listed too.  An
+SPDX tag counts as a sentence of its own.  Texts without any of ``KEYWORDS`` (every
+known sentence has one) skip that.  Sentences and rules are read from a file on the
+driver.  Nothing is shuffled and no Python runs on the executors.
 
 Defined results: null and empty texts have no sentences and no licence; a sentence
 that occurs again is listed again; repeated rows are scanned each; an empty table
@@ -16,100 +18,117 @@ gives an empty result; columns other than id and text are ignored.
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .io import table
 
-#: Normalised licence sentences and their identifiers.
-SENTENCES = {
-    "released under the mit license": "mit-note",
-    "licensed under the mit license": "mit-note",
-    "this project is licensed under the mit license": "mit-note",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
-    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
-    "licensed under the apache license version 2 0": "apache-2-note",
-    "licensed under the apache license version 2 0 the license": "apache-2-note",
-    "you may obtain a copy of the license at": "apache-2-copy",
-    "you may not use this file except in compliance with the license": "apache-2-terms",
-    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
-    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
-    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
-    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-name",
-    "this work is licensed under the gnu general public license version 3": "gpl-3-note",
-    "licensed under the gnu general public license version 3": "gpl-3-note",
-    "this work is licensed under the gnu general public license version 2": "gpl-2-note",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl-3-grant",
-    "you should have received a copy of the gnu general public license along with this program": "gpl-copy",
-    "licensed under cc by nc 4 0": "cc-by-nc-4-note",
-    "licensed under cc by 4 0": "cc-by-4-note",
-    "licensed under cc by sa 4 0": "cc-by-sa-4-note",
-    "this work is licensed under a creative commons attribution 4 0 international license": "cc-by-4-note",
-    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "cc-by-nc-4-note",
-    "all rights reserved": "reserved",
-    "no part of this work may be copied without written permission": "reserved",
-}
 #: Every known sentence holds one of these.
-KEYWORDS = ("licensed", "license", "permission", "redistribution", "rights reserved")
-#: (licence, kind, identifiers in order); the first rule that holds decides.
-RULES = (
-    ("GPL-3.0", "copyleft", ("gpl-3-grant", "gpl-copy")),
-    ("GPL-3.0", "copyleft", ("gpl-3-grant",)),
-    ("GPL-3.0", "copyleft", ("gpl-3-note",)),
-    ("GPL-2.0", "copyleft", ("gpl-2-note",)),
-    ("CC-BY-NC-4.0", "noncommercial", ("cc-by-nc-4-note",)),
-    ("CC-BY-SA-4.0", "copyleft", ("cc-by-sa-4-note",)),
-    ("BSD-3-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name")),
-    ("BSD-2-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary")),
-    ("Apache-2.0", "permissive", ("apache-2-note", "apache-2-terms", "apache-2-copy")),
-    ("Apache-2.0", "permissive", ("apache-2-note",)),
-    ("MIT", "permissive", ("mit-grant", "mit-notice")),
-    ("MIT", "permissive", ("mit-grant",)),
-    ("MIT", "permissive", ("mit-note",)),
-    ("CC-BY-4.0", "permissive", ("cc-by-4-note",)),
-    ("proprietary", "reserved", ("reserved",)),
-)
-
-
-def sentence_ids(text: Column) -> Column:
+KEYWORDS = ("license", "permission", "redistribution", "rights reserved", "public domain", "the software is provided as is")
+
+
+@dataclass
+class Rules:
+    sentences: dict[str, str]  # normalised sentence: identifier
+    rules: list[tuple[str, str, tuple[str, ...]]]  # licence, kind, identifiers in order; the first that holds decides
+
+    @property
+    def licences(self) -> list[str]:
+        return list(dict.fromkeys(r[0] for r in self.rules))
+
+
+def load(path: str | Path | None = None) -> Rules:
+    """Sentences, rules and tags of a file; the one that comes with this module by default."""
+    sentences: dict[str, str] = {}
+    rules, tagged, section = [], [], ""
+    for line in Path(path or Path(__file__).with_name("license_rules.txt")).read_text(encoding="utf-8").splitlines():
+        line = line.strip()
+        if line.startswith("["):
+            section = line.strip("[]")
+        elif line and not line.startswith("#"):
+            left, right = (x.strip() for x in line.split("=", 1))
+            if section == "sentences":
+                sentences[right] = left
+            elif section == "rules":
+                rules.append((*left.split(), tuple(right.split())))
+            elif section == "tags":
+                name = f"spdx-{left.lower()}"
+                sentences["spdx license identifier " + re.sub("[^a-z0-9]+", " ", left.lower())] = name
+                tagged.append((*right.split(), (name,)))
+    # a tag stands where its licence's rules stand
+    order = list(dict.fromkeys(r[0] for r in [*rules, *tagged]))
+    found = Rules(sentences, sorted([*rules, *tagged], key=lambda r: order.index(r[0])))
+    lost = [s for s in sentences if not any(k in s for k in KEYWORDS)]
+    if lost:
+        raise ValueError(f"no keyword in: {lost[0]}")
+    return found
+
+
+RULES = load()
+
+
+def sentence_ids(text: Column, known_: Rules = RULES) -> Column:
     """Identifiers of the known sentences in text order."""
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
+    known = F.create_map(*(F.lit(x) for pair in known_.sentences.items() for x in pair))
     # | ends a sentence, _ is the end of a line inside one
     marked = F.regexp_replace(F.lower(text), r"[|_]", " ")
     for pattern, mark in ((r"\r\n?", "\n"), (r"([.!?])[ \t\f\x0B]+|[.!?][^a-z0-9\n]*\n|\n[^a-z0-9]*\n", "|"), (r"\n", "_"), (r"[^a-z0-9|_]+", " "), (r"[ _]*[|][ _|]*", "|"), (r" ?_ ?", "_"), (r"^[ _]+|[ _]+$", "")):
         marked = F.regexp_replace(marked, pattern, mark)
     # longest first, as one may begin another
-    names = "|".join(s.replace(" ", "[ _]") for s in sorted(SENTENCES, key=len, reverse=True))
+    names = "|".join(s.replace(" ", "[ _]") for s in sorted(known_.sentences, key=len, reverse=True))
     found = F.regexp_extract_all(marked, F.lit(f"(?<![^|_])({names})(?![^|_])"), 1)
     ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, "_", " ")))
     keyword = "|".join(KEYWORDS).replace(" ", "[^a-z0-9]+")
     return F.when(F.lower(text).rlike(keyword), ids).otherwise(F.array().cast("array<string>"))
 
 
-def rule_column(sequence: Column, value: int) -> Column:
+def _holds(sequence: Column, ids: tuple[str, ...]) -> Column:
+    return sequence.like("%" + "%".join(f"<{i}>" for i in ids) + "%")
+
+
+def rule_column(sequence: Column, value: int, known: Rules = RULES) -> Column:
     """Licence (0) or kind (1) of the first rule that a sequence like ``<a><b>`` fulfils."""
     out = None
-    for rule in RULES:
-        holds = sequence.like("%" + "%".join(f"<{i}>" for i in rule[2]) + "%")
+    for rule in known.rules:
+        holds = _holds(sequence, rule[2])
         out = F.when(holds, rule[value]) if out is None else out.when(holds, rule[value])
     return out
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_sentences (known ones), sequence, license, kind."""
-    rows = docs.select(F.col(id_col), F.coalesce(sentence_ids(F.col(text_col)), F.array().cast("array<string>")).alias("ids"))
+def all_licences(sequence: Column, known: Rules = RULES) -> Column:
+    """Every licence of which a rule holds, in the order of the rules."""
+    each = []
+    for name in known.licences:
+        some = None
+        for rule in known.rules:
+            if rule[0] == name:
+                some = _holds(sequence, rule[2]) if some is None else some | _holds(sequence, rule[2])
+        each.append(F.when(some, name))
+    return F.when(sequence == "", F.array().cast("array<string>")).otherwise(F.filter(F.array(*each), lambda x: x.isNotNull()))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: Rules = RULES) -> DataFrame:
+    """One row per input row: id, n_sentences (known ones), sequence, license, kind, licenses."""
+    rows = docs.select(F.col(id_col), F.coalesce(sentence_ids(F.col(text_col), known), F.array().cast("array<string>")).alias("ids"))
     sequence = F.concat_ws("", F.transform("ids", lambda s: F.concat(F.lit("<"), s, F.lit(">"))))
     rows = rows.select(id_col, F.size("ids").cast("long").alias("n_sentences"), sequence.alias("sequence"))
-    return rows.withColumn("license", rule_column(F.col("sequence"), 0)).withColumn("kind", rule_column(F.col("sequence"), 1))
+    found = F.col("sequence")
+    return rows.select(id_col, "n_sentences", "sequence", rule_column(found, 0, known).alias("license"), rule_column(found, 1, known).alias("kind"), all_licences(found, known).alias("licenses"))
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents")).withColumn("licenses", F.array_join("licenses", ","))
 
 
 def _sql() -> str:
-    known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in SENTENCES.items()) + "}"
-    case = lambda v: "CASE " + " ".join(f"WHEN sequence LIKE '%{'%'.join(f'<{i}>' for i in r[2])}%' THEN '{r[v]}'" for r in RULES) + " END"
+    known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in RULES.sentences.items()) + "}"
+    holds = lambda r: f"sequence LIKE '%{'%'.join(f'<{i}>' for i in r[2])}%'"
+    case = lambda v: "CASE " + " ".join(f"WHEN {holds(r)} THEN '{r[v]}'" for r in RULES.rules) + " END"
+    each = ", ".join(f"CASE WHEN {' OR '.join(holds(r) for r in RULES.rules if r[0] == n)} THEN '{n}' END" for n in RULES.licences)
     return rf"""
 WITH p AS (
   SELECT doc_id, list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \t\r\f\x0B]+', '\1' || chr(10), 'g'), chr(10)),
@@ -119,7 +138,7 @@ WITH p AS (
 ), r AS (
   SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, coalesce(array_to_string(list_transform(ids, lambda s: '<' || s || '>'), ''), '') AS sequence FROM q
 )
-SELECT doc_id, n_sentences, sequence, {case(0)} AS license, {case(1)} AS kind FROM r
+SELECT doc_id, n_sentences, sequence, {case(0)} AS license, {case(1)} AS kind, array_to_string(list_filter([{each}], lambda x: x IS NOT NULL), ',') AS licenses FROM r
 """
 
 
