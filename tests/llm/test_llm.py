@@ -102,6 +102,11 @@ def test_url_filter(spark):
     got = {(r["page_id"], r["host"], r["rule"], r["verdict"]) for r in url_filter.judge_urls(p).collect()}
     assert got == {(1, "a.example.net", "example.net/en/", "allow"), (2, "x.net", None, "allow"), (3, "x.net", "net/", "block"), (4, "", None, "allow"), (5, "", None, "allow"), (6, "casino.org", None, "block"), (7, "mycasinos.org", None, "allow"), (8, "o.org", None, "block"), (9, "o.org", None, "allow"), (10, "notexample.com", None, "allow"), (10, "w.example.com", "example.com/de/", "block")}
     assert url_filter.judge_urls(p.where("false")).count() == 0
+    ties = (("b.org", "/x", "allow"), ("org", "/x.b", "block"), ("b.org", "/y", "block"), ("b.org", "/y", "allow"))
+    p = spark.createDataFrame([(1, "http://a.b.org/x.b"), (2, "http://b.org/yy?" + "q" * 500000), (3, "http://c.net/" + "a/" * 200000 + "porn/"), (4, "http://c.net/sexy-sexy"), (5, "http://c.net/sexy/poker")], "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge_urls(p, rules=ties).collect()}
+    assert got == {1: ("b.org/x", "allow"), 2: ("b.org/y", "block"), 3: (None, "block"), 4: (None, "allow"), 5: (None, "block")}
+    assert {r["verdict"] for r in url_filter.judge_urls(p, vocabulary={}, rules=()).collect()} == {"allow"}
 
 
 def brute_near(rows, k, percent):
@@ -459,7 +464,8 @@ def test_line_dedup(spark, odd, none):
 
 
 def test_license_scan(odd, none, spark):
-    assert all(any(k in s for k in license_scan.KEYWORDS) for s in license_scan.SENTENCES)
+    assert all(any(k in s for k in license_scan.KEYWORDS) for s in license_scan.RULES.sentences)
+    assert {i for r in license_scan.RULES.rules for i in r[2]} <= set(license_scan.RULES.sentences.values())
     t = [(1, "Intro text. Released under the MIT License.\nMore", "en", "s"), (2, "Permission is hereby granted. x", "en", "s"), (3, "LICENSED UNDER CC BY-NC 4.0! Released under the MIT license.", "en", "s"), (4, "you may not use this file except in compliance with the license.\nLicensed under the Apache License, Version 2.0 (the \"License\")", "en", "s")]
     got = {r["doc_id"]: (r["sequence"], r["license"]) for r in license_scan.scan(table(spark, t)).collect()}
     assert got == {1: ("<mit-note>", "MIT"), 2: ("", None), 3: ("<cc-by-nc-4-note><mit-note>", "CC-BY-NC-4.0"), 4: ("<apache-2-terms><apache-2-note>", "Apache-2.0")}
@@ -502,6 +508,20 @@ the Free Software Foundation, either version 3 of the License, or
 def test_license_scan_wrapped(spark):
     commented = lambda t, c: "".join(f"{c} {x}".rstrip() + "\n" for x in t.splitlines())
     texts = [MIT, BSD, GPL, commented(MIT, " *"), commented(BSD, "#"), commented(GPL, "//"), MIT.replace("\n", "\r\n"), "All  rights reserved.", "ALL RIGHTS\u00a0RESERVED", "x\nAll\trights\nreserved\ny", "Licensed under the MIT.\nLicense", "all rights\n\nreserved", "we never said all rights reserved", "Note_All rights reserved.\nLicensed under the\nMIT license\nmore"]
+    more = {
+        "// SPDX-License-Identifier: GPL-2.0-or-later\nint main;": "GPL-2.0",
+        "/* SPDX-License-Identifier: Apache-2.0 */": "Apache-2.0",
+        "x SPDX-License-Identifier: MIT": None,
+        GPL.replace("version 3", "version 2"): "GPL-2.0",
+        BSD + "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n": "BSD-3-Clause",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may\nnot use this file except in compliance with the License. You may obtain\na copy of the License at\n\n  http://www.apache.org/licenses/LICENSE-2.0\n": "Apache-2.0",
+        "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not distributed": "MPL-2.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License.": "CC-BY-SA-4.0",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": "ISC",
+    }
+    both = license_scan.scan(table(spark, [(1, MIT + "\nSPDX-License-Identifier: GPL-3.0-only\n", "en", "s"), (2, None, "en", "s"), (3, "no notice", "en", "s")])).orderBy("doc_id").collect()
+    assert [r["licenses"] for r in both] == [["GPL-3.0", "MIT"], [], []] and both[0]["license"] == "GPL-3.0"
+    assert [r["license"] for r in license_scan.scan(table(spark, [(i, t, "en", "s") for i, t in enumerate(more)])).orderBy("doc_id").collect()] == list(more.values())
     got = [r["license"] for r in license_scan.scan(table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).orderBy("doc_id").collect()]
     assert got == ["MIT", "BSD-2-Clause", "GPL-3.0", "MIT", "BSD-2-Clause", "GPL-3.0", "MIT", "proprietary", "proprietary", "proprietary", None, None, None, "MIT"]
 
