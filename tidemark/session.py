@@ -69,7 +69,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Set what right results need, and send this package's modules to the executors once per Spark context."""
+    """Set what right results need, and send this package's modules and tables to the executors once per Spark context."""
     prepare(spark)
     sc = spark.sparkContext
     if getattr(sc, "_tidemark_shipped", False):
@@ -77,7 +77,8 @@ def ship(spark: SparkSession) -> None:
     root = Path(__file__).parent
     target = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
     with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
+        for p in sorted(root.rglob("*")):
+            if p.suffix in (".py", ".txt"):
+                z.write(p, p.relative_to(root.parent))
     sc.addPyFile(target)
     sc._tidemark_shipped = True
