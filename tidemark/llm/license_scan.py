@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from importlib.resources import files
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +46,7 @@ def load(path: str | Path | None = None) -> Rules:
     """Sentences, rules and tags of a file; the one that comes with this module by default."""
     sentences: dict[str, str] = {}
     rules, tagged, section = [], [], ""
-    for line in Path(path or Path(__file__).with_name("license_rules.txt")).read_text(encoding="utf-8").splitlines():
+    for line in (Path(path) if path else files(__package__) / "license_rules.txt").read_text(encoding="utf-8").splitlines():
         line = line.strip()
         if line.startswith("["):
             section = line.strip("[]")

@@ -14,6 +14,7 @@ result; columns other than id and url are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from importlib.resources import files
 from pathlib import Path
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 def read_vocabulary(path: str | Path | None = None) -> dict[str, float]:
     """Terms and weights of a file of lines ``weight = term term ...``; the one that comes with this module by default."""
     out: dict[str, float] = {}
-    for line in Path(path or Path(__file__).with_name("url_terms.txt")).read_text(encoding="utf-8").splitlines():
+    for line in (Path(path) if path else files(__package__) / "url_terms.txt").read_text(encoding="utf-8").splitlines():
         if line.strip() and not line.startswith("#"):
             weight, terms = line.split("=", 1)
             out |= {t.lower(): float(weight) for t in terms.split()}
