@@ -239,7 +239,22 @@ def _(spark, d):
     return spans(spark, d).select("user_id", F.expr("start div 4").alias("start"), F.expr("stop div 4").alias("stop")).distinct()
 
 
-@query("stitch_plan", None)
+# one row a span: the operations so far, where the plan stands, and the span that plays
+_ADD = "CASE WHEN {n} > 0 THEN list_append({ops}, {{'op': '{op}', 'at': {at}, 'n': {n}, 'span': {span}, 'prev': {prev}}}) ELSE {ops} END"
+_STITCH = f"""r AS (SELECT user_id, greatest(start, 0) AS a, least(stop, total) AS b, total AS hi, row_number() OVER (PARTITION BY user_id ORDER BY start, stop) AS r FROM span JOIN t USING (user_id)),
+k(user_id, r, hi, span, fin, pos, ops) AS (SELECT DISTINCT user_id, 0::BIGINT, hi, -1::BIGINT, -1::BIGINT, 0::BIGINT, CAST([] AS STRUCT(op VARCHAR, "at" BIGINT, n BIGINT, span BIGINT, prev BIGINT)[]) FROM r
+UNION ALL SELECT user_id, r, hi, CASE WHEN skip THEN span ELSE i END, CASE WHEN skip THEN fin ELSE b END, CASE WHEN skip THEN pos ELSE at2 END, CASE WHEN skip THEN ops ELSE {_ADD.format(n="CASE WHEN fin < 0 OR a >= fin THEN a - at1 ELSE 0 END", ops="ops2", op="source", at="at1", span="-1", prev="-1")} END FROM (
+SELECT *, CASE WHEN fin >= 0 AND a < fin THEN at1 + greatest(0, nb) ELSE greatest(at1, a) END AS at2, {_ADD.format(n="CASE WHEN fin >= 0 AND a < fin THEN nb ELSE 0 END", ops="ops1", op="blend", at="at1", span="i", prev="span")} AS ops2 FROM (
+SELECT *, least(8, fin - greatest(a, at1)) AS nb, {_ADD.format(n="nc", ops="ops", op="copy", at="pos", span="span", prev="-1")} AS ops1 FROM (
+SELECT *, pos + greatest(0, nc) AS at1 FROM (
+SELECT k.user_id, k.r + 1 AS r, k.hi, k.span, k.fin, k.pos, k.ops, n.a, n.b, k.r AS i, n.b <= n.a OR (k.fin >= 0 AND n.b <= k.fin) AS skip, CASE WHEN k.fin < 0 THEN 0 WHEN n.a >= k.fin THEN k.fin - k.pos ELSE n.a - k.pos END AS nc FROM k JOIN r n ON n.user_id = k.user_id AND n.r = k.r + 1))))),
+z AS (SELECT user_id, hi, span, fin, pos, ops FROM k QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY r DESC) = 1),
+y AS (SELECT user_id, hi, pos + greatest(0, nc) AS pos, {_ADD.format(n="nc", ops="ops", op="copy", at="pos", span="span", prev="-1")} AS ops FROM (SELECT *, CASE WHEN fin < 0 THEN 0 ELSE fin - pos END AS nc FROM z)),
+x AS (SELECT user_id, {_ADD.format(n="hi - pos", ops="ops", op="source", at="pos", span="-1", prev="-1")} AS ops FROM y)
+SELECT user_id, i - 1 AS seq, o.op, o."at" AS "at", o.n, o.span, o.prev FROM (SELECT user_id, unnest(ops) AS o, generate_subscripts(ops, 1) AS i FROM x)"""
+
+
+@query("stitch_plan", f"WITH RECURSIVE {_SPANS}, {_STITCH}")
 def _(spark, d):
     return I.stitch_plan(spans(spark, d), USER, "low", "high")
 

@@ -134,22 +134,23 @@ def _(spark, d):
     return spark.range(2000).select(F.col("id").alias("n")).select("n", snap_length(n).alias("legal"), to_sixteen(n.cast("double")).alias("sixteen"), F.ceil(n / 73.0).alias("chunks"))
 
 
-CONFIG = (("base", None), ("local", "base"), ("cloud", "base"), ("cloud_large", "cloud"), ("cloud_control", "cloud_large"), ("loop_a", "loop_b"), ("loop_b", "loop_a"))
-_CFG = "cfg(name, up) AS (VALUES " + ", ".join(f"('{n}', {'NULL' if u is None else repr(u)})" for n, u in CONFIG) + ")"
+# settings that build on others: a customer's is a third of its number, some have none, the first two run in a circle
+_CFG = "cfg(name, up) AS (SELECT c_custkey, CASE WHEN c_custkey % 97 = 0 THEN NULL WHEN c_custkey <= 2 THEN 3 - c_custkey ELSE c_custkey // 3 END FROM customer)"
 
 
-@query("config_chain", f"WITH RECURSIVE {_CFG}, c(name, nxt, path) AS (SELECT name, up, [name] FROM cfg UNION ALL SELECT c.name, p.up, list_append(c.path, p.name) FROM c JOIN cfg p ON p.name = c.nxt WHERE NOT list_contains(c.path, p.name)), f AS (SELECT name, arg_max(path, len(path)) AS path, arg_max(coalesce(nxt, ''), len(path)) AS nxt FROM c GROUP BY name) SELECT name, array_to_string(path, '>') AS path, nxt <> '' AS looped FROM f")
+@query("config_chain", f"WITH RECURSIVE {_CFG}, c(name, nxt, path) AS (SELECT name, up, [name] FROM cfg UNION ALL SELECT c.name, p.up, list_append(c.path, p.name) FROM c JOIN cfg p ON p.name = c.nxt WHERE NOT list_contains(c.path, p.name)), f AS (SELECT name, arg_max(path, len(path)) AS path, arg_max(coalesce(nxt, 0), len(path)) AS nxt FROM c GROUP BY name) SELECT name, array_to_string(path, '>') AS path, nxt <> 0 AS looped FROM f")
 def _(spark, d):
-    return chain(spark.createDataFrame(list(CONFIG), "name string, up string"), "name", "up")
+    k = F.col("c_custkey")
+    return chain(table(spark, d, "customer").select(k.alias("name"), F.when(k % 97 == 0, None).when(k <= 2, 3 - k).otherwise(F.expr("c_custkey div 3")).alias("up")), "name", "up")
 
 
-EDGES = ((0, 1), (0, 2), (1, 3), (2, 3), (3, 4), (5, 4), (4, 6), (7, 8))
-_EDG = "edge(a, b) AS (VALUES " + ", ".join(f"({a}, {b})" for a, b in EDGES) + ")"
+_EDG = "edge(a, b) AS (SELECT p_partkey // 2, p_partkey FROM part WHERE p_partkey >= 2 UNION SELECT p_partkey // 3, p_partkey FROM part WHERE p_partkey >= 3)"
 
 
 @query("topological_depth", f"WITH RECURSIVE {_EDG}, n AS (SELECT a AS node FROM edge UNION SELECT b FROM edge), w(node, depth) AS (SELECT node, 0 FROM n WHERE node NOT IN (SELECT b FROM edge) UNION SELECT b, depth + 1 FROM w JOIN edge ON a = node) SELECT CAST(node AS BIGINT) AS node, CAST(max(depth) AS BIGINT) AS depth FROM w GROUP BY 1")
 def _(spark, d):
-    return depths(spark.createDataFrame(list(EDGES), "a long, b long"))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("b"))
+    return depths(p.where("b >= 2").select(F.expr("b div 2").alias("a"), F.col("b").cast("long").alias("b")).union(p.where("b >= 3").select(F.expr("b div 3"), F.col("b").cast("long"))))
 
 
 @query("ranked_dates", "SELECT o_orderkey, date_trunc('month', o_orderdate) AS month, rank() OVER (PARTITION BY date_trunc('month', o_orderdate) ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders")
