@@ -2,6 +2,7 @@ import itertools
 import json
 import random
 import struct
+import zlib
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -373,3 +374,64 @@ def test_guards_and_bindings(spark):
     assert text_rows(K.unequal(df, ["k"], ["n"])) == [("2", "n", "2")]
     with pytest.raises(ValueError):
         K.require_equal(df, ["k"], ["n"])
+
+
+def encode_png(a, filters):
+    """An 8-bit PNG with one filter a row, by the format's rules."""
+    h, w, c = a.shape
+    x = np.zeros((h + 1, w + 1, c), int)
+    x[1:, 1:] = a
+    lines = b""
+    for y in range(1, h + 1):
+        f = filters[y % len(filters)]
+        left, up, both = x[y, :-1], x[y - 1, 1:], x[y - 1, :-1]
+        p = left + up - both
+        near = np.abs(np.stack([p - left, p - up, p - both])).argmin(0)
+        guess = (0 * left, left, up, (left + up) // 2, np.choose(near, [left, up, both]))[f]
+        lines += bytes([f]) + ((x[y, 1:] - guess) % 256).astype(np.uint8).tobytes()
+    part = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, {1: 0, 2: 4, 3: 2, 4: 6}[c], 0, 0, 0)) + part(b"IDAT", zlib.compress(lines)) + part(b"IEND", b"")
+
+
+def test_pictures(spark, tmp_path):
+    r = np.random.default_rng(3)
+    want = {}
+    for c in (1, 2, 3, 4):
+        a = r.integers(0, 256, (9, 7, c)).astype(np.uint8)
+        (tmp_path / f"{c}.png").write_bytes(encode_png(a, [0, 1, 2, 3, 4]))
+        want[f"{c}.png"] = np.broadcast_to(a[..., :1] if c < 3 else a[..., :3], (9, 7, 3))
+    want["p.ppm"] = want["3.png"]
+    (tmp_path / "p.ppm").write_bytes(b"P6\n7 9\n255\n" + want["3.png"].tobytes())
+    (tmp_path / "q.pgm").write_bytes(b"P5 7 9 255\n" + b"\n" * 63)
+    want["q.pgm"] = np.full((9, 7, 3), 10)
+    (tmp_path / "broken.png").write_bytes(encode_png(want["3.png"], [1])[:-20])
+    (tmp_path / "other.png").write_bytes(b"GIF89a")
+    got = {x["path"].rsplit("/", 1)[1]: x for x in SRC.read_pictures(spark, str(tmp_path)).collect()}
+    assert got["broken.png"]["pixels"] is None and got["other.png"]["height"] is None
+    for name, a in want.items():
+        assert (np.frombuffer(got[name]["pixels"], np.uint8).reshape(got[name]["height"], got[name]["width"], 3) == a).all(), name
+
+
+def test_pixel_layers_and_energies():
+    r = np.random.default_rng(4)
+    back, subject = np.zeros((4, 4, 3)), np.full((4, 4, 3), 100.0)
+    alpha, front = np.full((4, 4), 0.5), np.ones((4, 4))
+    front[0] = 0
+    got = P.layered(back, subject, alpha, front)
+    assert (got[0] == 0).all() and (got[1:] == 50).all()
+    grey = np.repeat(r.integers(0, 256, (20, 20, 1)), 3, 2)
+    mask = np.ones((20, 20), bool)
+    assert P.chroma_energy([grey], [mask]) == pytest.approx(0, abs=1e-9) and np.isnan(P.chroma_energy([grey], [mask & False]))
+    colour = grey.copy()
+    colour[..., 0] = r.integers(0, 256, (20, 20))
+    assert P.chroma_energy([colour, colour], [mask, mask]) > 1
+    flat = np.full((96, 160), 7.0)
+    assert P.shrink(flat).shape == (96, 160) and P.motion_and_texture([flat, flat + 2]) == [(0.0, 0.0), (2.0, 0.0)]
+    big = np.add.outer(np.arange(192.0), np.arange(320.0))
+    assert P.shrink(big) == pytest.approx(np.add.outer(np.arange(96) * 2 + 0.5, np.arange(160) * 2 + 0.5))
+
+
+def test_yaml_settings(tmp_path):
+    (tmp_path / "a.yaml").write_text("x: {y: 1, z: [1]}\nw: a\n")
+    (tmp_path / "b.yml").write_text("extends: a.yaml\nx: {y: 2}\n")
+    assert SRC.load_config(str(tmp_path / "b.yml")) == {"x": {"y": 2, "z": [1]}, "w": "a"}

@@ -82,6 +82,49 @@ def composite(base: np.ndarray, top: np.ndarray, alpha: np.ndarray) -> np.ndarra
     return (1 - alpha) * base + alpha * top
 
 
+def layered(back: np.ndarray, subject: np.ndarray, alpha: np.ndarray, front: np.ndarray | None = None) -> np.ndarray:
+    """Three layers: the subject over the background, and whatever is in front of it hides the subject.
+
+    ``front`` is the share of the subject that is left at a pixel (1 where nothing stands before it).
+    """
+    a = alpha if front is None else alpha * front
+    return composite(back, subject, a[..., None] if back.ndim == 3 else a)
+
+
+def chroma(rgb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Red and blue differences of 8-bit RGB around 128, full range."""
+    x = rgb.astype(np.float64)
+    luma = 0.299 * x[..., 0] + 0.587 * x[..., 1] + 0.114 * x[..., 2]
+    return (x[..., 0] - luma) * 0.713 + 128, (x[..., 2] - luma) * 0.564 + 128
+
+
+def chroma_energy(frames: list[np.ndarray], masks: list[np.ndarray], least: int = 64) -> float:
+    """Median over frames of the mean sharpness of both colour channels inside the mask; NaN without a mask of ``least`` pixels."""
+    found = [np.mean([laplacian_variance(c, m) for c in chroma(f)]) for f, m in zip(frames, masks) if m.sum() >= least]
+    return float(np.median(found)) if found else float("nan")
+
+
+def shrink(a: np.ndarray, height: int = 96, width: int = 160) -> np.ndarray:
+    """Bilinear resize with pixel centres aligned."""
+    y = np.clip((np.arange(height) + 0.5) * a.shape[0] / height - 0.5, 0, a.shape[0] - 1)
+    x = np.clip((np.arange(width) + 0.5) * a.shape[1] / width - 0.5, 0, a.shape[1] - 1)
+    i, j = np.minimum(y.astype(int), max(0, a.shape[0] - 2)), np.minimum(x.astype(int), max(0, a.shape[1] - 2))
+    u, v = (y - i)[:, None], (x - j)[None, :]
+    p = a.astype(np.float64)
+    i1, j1 = np.minimum(i + 1, a.shape[0] - 1), np.minimum(j + 1, a.shape[1] - 1)
+    return (1 - u) * ((1 - v) * p[np.ix_(i, j)] + v * p[np.ix_(i, j1)]) + u * ((1 - v) * p[np.ix_(i1, j)] + v * p[np.ix_(i1, j1)])
+
+
+def motion_and_texture(frames: list[np.ndarray], stride: int = 1) -> list[tuple[float, float]]:
+    """Per sampled grey frame, at 160 x 96: mean difference to the one before (0 for the first), and sharpness."""
+    out, last = [], None
+    for a in frames[::stride]:
+        small = shrink(a)
+        out.append((0.0 if last is None else motion(small, last), laplacian_variance(small)))
+        last = small
+    return out
+
+
 def motion(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.abs(a.astype(float) - b.astype(float)).mean())
 

@@ -30,6 +30,28 @@ def shortened(s: Column, most: int = 2000) -> Column:
     return F.left(s, F.lit(most))
 
 
+def glob_needles(pattern: Column) -> Column:
+    """What to look for in names for a glob: itself and its last part; the last part if only that is fixed;
+    else what stands before the first star (nothing if the pattern begins with one)."""
+    base = F.substring_index(pattern, "/", -1)
+    before = F.regexp_replace(F.substring_index(pattern, "*", 1), "/$", "")
+    return (
+        F.when(~F.contains(pattern, F.lit("*")), F.array_distinct(F.array(pattern, base)))
+        .when(~F.contains(base, F.lit("*")), F.array(base))
+        .otherwise(F.filter(F.array(before), lambda x: x != ""))
+    )
+
+
+def local_stamp(at: Column, zone: str, pattern: str = "yyyy-MM-dd HH:mm") -> Column:
+    """A UTC time as it reads in ``zone`` (in a session whose time zone is UTC)."""
+    return F.date_format(F.from_utc_timestamp(at, zone), pattern)
+
+
+def at_least(width: Column, height: Column, least_width: float, least_height: float) -> Column:
+    """A crop that is not degenerate."""
+    return (width >= least_width) & (height >= least_height)
+
+
 def number_pair(s: Column) -> Column:
     """``"a-b"`` as a struct of doubles, null if it is none."""
     a, b = F.regexp_extract(s, r"^\s*([0-9.]+)\s*-\s*([0-9.]+)\s*$", 1), F.regexp_extract(s, r"^\s*([0-9.]+)\s*-\s*([0-9.]+)\s*$", 2)

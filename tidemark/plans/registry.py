@@ -7,7 +7,7 @@ from importlib import import_module
 from ..session import ship
 
 FLAGSHIP = "frame_presence_gaps"
-MODULES = ("timeline", "vector", "rollup", "words", "choice", "shapes")
+MODULES = ("timeline", "vector", "rollup", "words", "choice", "shapes", "records")
 
 
 def _all() -> dict:

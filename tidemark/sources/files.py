@@ -6,11 +6,16 @@ by the driver.
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Sequence
+import struct
+import zlib
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,17 +78,30 @@ def single_file(spark: SparkSession, path: str, extensions: Sequence[str], what:
 def read_tensor_headers(spark: SparkSession, path: str, glob: str = "*.safetensors") -> DataFrame:
     """file, name, dtype, shape, numel from the JSON headers: a little-endian u64 length, then the JSON.
 
-    A length outside (0, 2^28) is an error, as is a file that ends inside its header.
+    Only the headers are read, so a file may have any size.  A length outside (0, 2^28)
+    is an error, as is a file that ends inside its header.
     """
-    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    digits = F.transform(F.sequence(F.lit(8), F.lit(1), F.lit(-1)), lambda i: F.hex(F.substring(F.col("content"), i, F.lit(1))))
-    size = F.conv(F.array_join(digits, ""), 16, 10).cast("decimal(20,0)")
-    x = x.withColumn("n", size)
-    bad = F.raise_error(F.concat(F.lit("bad header length in "), F.col("path")))
-    text = F.when((F.col("n") > 0) & (F.col("n") < 1 << 28) & (F.octet_length("content") >= F.col("n") + 8), F.decode(F.substring("content", F.lit(9), F.col("n").cast("int")), "utf-8")).otherwise(bad.cast("string"))
-    m = F.from_json(text, "map<string,struct<dtype:string,shape:array<bigint>>>")
-    rows = x.select(F.col("path").alias("file"), F.explode(m).alias("name", "t")).where("name <> '__metadata__'")
-    return rows.select("file", "name", "t.dtype", "t.shape", F.aggregate("t.shape", F.lit(1).cast("long"), lambda a, b: a * b).alias("numel"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "length")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        for batch in batches:
+            heads, digests = [], []
+            for name in batch["path"].to_pylist():
+                fs, at = FileSystem.from_uri(name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file://") else name)
+                with fs.open_input_file(at) as f:
+                    n = int.from_bytes(f.read(8), "little")
+                    text = f.read(n) if 0 < n < 1 << 28 else b""
+                if not text or len(text) != n:
+                    raise ValueError(f"bad header length in {name}")
+                heads.append(text.decode())
+                digests.append(hashlib.sha256(text).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch["path"], pa.array(heads, pa.string()), pa.array(digests, pa.string())], ["file", "head", "digest"])
+
+    m = F.from_json("head", "map<string,struct<dtype:string,shape:array<bigint>>>")
+    rows = files.mapInArrow(run, "file string, head string, digest string").select("file", "digest", F.explode(m).alias("name", "t")).where("name <> '__metadata__'")
+    return rows.select("file", "name", "t.dtype", "t.shape", F.aggregate("t.shape", F.lit(1).cast("long"), lambda a, b: a * b).alias("numel"), F.substring("digest", 1, 16).alias("header_digest"))
 
 
 def read_stills(spark: SparkSession, path: str, glob: str = "*.pgm") -> DataFrame:
@@ -96,6 +114,80 @@ def read_stills(spark: SparkSession, path: str, glob: str = "*.pgm") -> DataFram
     return x.select("path", h.alias("height"), w.alias("width"), F.when(F.octet_length(body) == w * h, body).alias("pixels"))
 
 
+def decode_picture(raw: bytes) -> np.ndarray | None:
+    """RGB pixels (height, width, 3) of an 8-bit PNG (grey or colour, with or without alpha) or a binary PGM or PPM; None if it is broken or of another kind."""
+    try:
+        if raw[:2] in (b"P5", b"P6"):
+            head = raw.split(maxsplit=4)
+            w, h, top, n = int(head[1]), int(head[2]), int(head[3]), 3 if raw[:2] == b"P6" else 1
+            body = raw[len(raw) - w * h * n :]
+            if top != 255 or len(raw) <= w * h * n:
+                return None
+            a = np.frombuffer(body, np.uint8).reshape(h, w, n)
+        else:
+            a = _png(raw)
+    except (ValueError, IndexError, struct.error, zlib.error, KeyError):
+        return None
+    a = a[..., : 1 if a.shape[2] < 3 else 3]
+    return np.ascontiguousarray(np.broadcast_to(a, (*a.shape[:2], 3)))
+
+
+def _png(raw: bytes) -> np.ndarray:
+    if raw[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG")
+    at, data, shape = 8, b"", None
+    while at < len(raw):
+        n, kind = struct.unpack(">I4s", raw[at : at + 8])
+        body = raw[at + 8 : at + 8 + n]
+        if zlib.crc32(kind + body) != struct.unpack(">I", raw[at + 8 + n : at + 12 + n])[0]:
+            raise ValueError("wrong checksum")
+        if kind == b"IHDR":
+            w, h, depth, colour, _, _, interlaced = struct.unpack(">IIBBBBB", body)
+            if depth != 8 or interlaced:
+                raise ValueError("not 8 bits, or interlaced")
+            shape = (h, w, {0: 1, 2: 3, 4: 2, 6: 4}[colour])
+        elif kind == b"IDAT":
+            data += body
+        at += 12 + n
+    h, w, c = shape or (0, 0, 1)
+    rows = np.frombuffer(zlib.decompress(data), np.uint8).reshape(h, 1 + w * c)
+    out = np.zeros((h + 1, w + 1, c), np.int64)  # with a black row above and column before
+    for y in range(h):
+        f, line = int(rows[y, 0]), rows[y, 1:].reshape(w, c).astype(np.int64)
+        up = out[y]
+        if f == 0:
+            out[y + 1, 1:] = line
+        elif f == 1:
+            out[y + 1, 1:] = np.cumsum(line, 0) & 255
+        elif f == 2:
+            out[y + 1, 1:] = (line + up[1:]) & 255
+        elif f in (3, 4):
+            for x in range(w):
+                a, b, d = out[y + 1, x], up[x + 1], up[x]
+                if f == 3:
+                    guess = (a + b) // 2
+                else:
+                    pa_, pb, pd = abs(b - d), abs(a - d), abs(a + b - 2 * d)
+                    guess = np.where((pa_ <= pb) & (pa_ <= pd), a, np.where(pb <= pd, b, d))
+                out[y + 1, x + 1] = (line[x] + guess) & 255
+        else:
+            raise ValueError("unknown filter")
+    return out[1:, 1:].astype(np.uint8)
+
+
+def read_pictures(spark: SparkSession, path: str, glob: str = "*.{png,pgm,ppm}") -> DataFrame:
+    """path, height, width, pixels (RGB, binary); a broken file has nulls."""
+    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [decode_picture(c) for c in batch["content"].to_pylist()]
+            size = lambda i: pa.array([None if a is None else a.shape[i] for a in got], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch["path"], size(0), size(1), pa.array([None if a is None else a.tobytes() for a in got], pa.binary())], ["path", "height", "width", "pixels"])
+
+    return x.mapInArrow(run, "path string, height int, width int, pixels binary")
+
+
 def interval_scan(frames: DataFrame, start: int, stop: int, exact: bool = True) -> DataFrame:
     """Frames of [start, stop); with ``exact``, a wrong number of frames is an error."""
     x = frames.where((F.col("frame") >= start) & (F.col("frame") < stop))
@@ -146,15 +238,25 @@ def merge_config(base: Any, over: Any) -> Any:
     return over
 
 
+def _parsed(path: Path) -> dict:
+    if path.suffix.lower() not in (".yaml", ".yml"):
+        return json.loads(path.read_text())
+    try:
+        import yaml
+    except ImportError as e:
+        raise ImportError(f"{path} needs the yaml module") from e
+    return yaml.safe_load(path.read_text()) or {}
+
+
 def load_config(path: str, key: str = "extends") -> dict:
-    """A JSON configuration with its chain of parents merged; a loop is an error."""
+    """A JSON or YAML configuration with its chain of parents merged; a loop is an error."""
     seen, layers, p = set(), [], Path(path)
     while p:
         p = p.resolve()
         if p in seen:
             raise ValueError(f"{p} extends itself")
         seen.add(p)
-        layer = json.loads(p.read_text())
+        layer = _parsed(p)
         up = layer.pop(key, None)
         layers.append(layer)
         p = p.parent / up if up else None
