@@ -186,7 +186,7 @@ def test_sources(spark, tmp_path):
     assert rows(SRC.read_allow_list(spark, str(tmp_path / "allow.txt"))) == [("a.mp4", 1.5, 2.0), ("b.mp4", None, None)]
     head = json.dumps({"__metadata__": {"a": "b"}, "w": {"dtype": "F16", "shape": [2, 3], "data_offsets": [0, 12]}}).encode()
     (tmp_path / "m.safetensors").write_bytes(struct.pack("<Q", len(head)) + head + b"\0" * 12)
-    assert [tuple(r)[1:] for r in SRC.read_tensor_headers(spark, str(tmp_path)).collect()] == [("w", "F16", [2, 3], 6)]
+    assert [tuple(r)[1:5] for r in SRC.read_tensor_headers(spark, str(tmp_path)).collect()] == [("w", "F16", [2, 3], 6)]
     (tmp_path / "s.pgm").write_bytes(b"P5 3 2 255\n" + bytes(range(6)))
     (tmp_path / "t.pgm").write_bytes(b"P5 3 2 255\nxx")
     got = {r["path"][-5:]: r["pixels"] for r in SRC.read_stills(spark, str(tmp_path)).collect()}
