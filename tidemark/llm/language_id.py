@@ -72,8 +72,22 @@ def weigh(at: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
 CHUNK_TEXTS, CHUNK_CHARS = 64, 1 << 18
 
 
-def chunk_counts(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """Counts of all texts as matrices (texts x buckets), some texts at a time; a text without letters has zeros."""
+@dataclass
+class Counts:
+    """Texts of a chunk as a sparse matrix: ``row`` and ``at`` (bucket) ascend, and ``count`` is not zero."""
+
+    n: int
+    row: np.ndarray
+    at: np.ndarray
+    count: np.ndarray
+
+
+def chunk_counts(texts: list[str | None]) -> Iterator[Counts]:
+    """Counts of all texts, some texts at a time; a text without letters has none.
+
+    Letters are hashed for a chunk at once; each text is counted in a table of its own
+    size, which stays in the processor's cache.
+    """
     at = 0
     while at < len(texts):
         part, size = [], 0
@@ -83,22 +97,28 @@ def chunk_counts(texts: list[str | None]) -> Iterator[np.ndarray]:
             at += 1
         c = np.frombuffer(("\0" + "\0\0".join(part) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         c = np.where(_letters()[c], c, 0)
-        doc = np.repeat(np.arange(len(part)), [len(t) + 2 for t in part])
-        begin = np.ones(len(c), bool)
-        begin[1:] = doc[1:] != doc[:-1]
-        keep = begin | (c != 0)
+        first = np.concatenate([[0], np.cumsum([len(t) + 2 for t in part])])
+        keep = c != 0
         keep[1:] |= c[:-1] != 0  # one mark between words
-        c, doc = c[keep], doc[keep]
+        keep[first[:-1]] = True
+        first = np.concatenate([[0], np.cumsum(keep)])[first]
+        c = c[keep]
         two = c[:-1] * 0x110000 + c[1:]
-        three = two[:-1] * 0x1F35 + c[2:] + (1 << 50)
-        grams = (c[c != 0], two[doc[1:] == doc[:-1]] + (1 << 45), three[doc[2:] == doc[:-2]])
-        owner = np.concatenate([doc[c != 0], doc[1:][doc[1:] == doc[:-1]], doc[2:][doc[2:] == doc[:-2]]])
         with np.errstate(over="ignore"):
-            h = np.concatenate(grams) * _MUL
-        cell = owner * BUCKETS + ((h >> 40) & (BUCKETS - 1))
-        count = np.bincount(cell, minlength=len(part) * BUCKETS).reshape(len(part), BUCKETS)
-        count[np.bincount(doc[c != 0], minlength=len(part)) == 0] = 0
-        yield count
+            named = [((g * _MUL) >> 40) & (BUCKETS - 1) for g in (c, two + (1 << 45), two[:-1] * 0x1F35 + c[2:] + (1 << 50))]
+        letter = c != 0
+        rows, ats, counts = [], [], []
+        for i, (x, y) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+            own = letter[x:y]
+            if not own.any():
+                continue
+            count = np.bincount(np.concatenate([named[0][x:y][own], named[1][x : y - 1], named[2][x : max(x, y - 2)]]), minlength=BUCKETS)
+            some = np.flatnonzero(count)
+            rows.append(np.full(len(some), i))
+            ats.append(some)
+            counts.append(count[some])
+        z = [np.zeros(0, np.int64)]
+        yield Counts(len(part), *(np.concatenate(z + v) for v in (rows, ats, counts)))
 
 
 @dataclass
@@ -110,20 +130,19 @@ class Model:
     bias: np.ndarray
     temperature: float
 
-    def logits(self, counts: np.ndarray) -> np.ndarray:
+    def logits(self, c: Counts) -> np.ndarray:
         """Texts x classes, before calibration."""
-        row, at = np.nonzero(counts)
-        v = (1 + np.log(counts[row, at])) * self.idf[at]
-        norm = np.sqrt(np.bincount(row, v * v, minlength=len(counts)))
-        x = np.zeros((len(counts), len(self.used)))
+        v = (1 + np.log(c.count)) * self.idf[c.at]
+        norm = np.sqrt(np.bincount(c.row, v * v, minlength=c.n))
+        norm[norm == 0] = 1
         place = np.full(BUCKETS, -1)
         place[self.used] = np.arange(len(self.used))
-        hit = place[at] >= 0
-        x[row[hit], place[at[hit]]] = v[hit] / norm[row[hit]]
-        return x @ self.weights.T + self.bias
+        hit = place[c.at] >= 0
+        row, at, v = c.row[hit], place[c.at[hit]], v[hit] / norm[c.row[hit]]
+        return np.column_stack([np.bincount(row, v * w[at], minlength=c.n) for w in self.weights]) + self.bias
 
-    def probabilities(self, counts: np.ndarray) -> np.ndarray:
-        z = self.logits(counts) / self.temperature
+    def probabilities(self, c: Counts) -> np.ndarray:
+        z = self.logits(c) / self.temperature
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
@@ -186,9 +205,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, total = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for count in chunk_counts(batch["text"].to_pylist()):
-                df += (count > 0).sum(0)
-                total += len(count)
+            for c in chunk_counts(batch["text"].to_pylist()):
+                df += np.bincount(c.at, minlength=BUCKETS)
+                total += c.n
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], total))], ["bucket", "df"])
 
@@ -230,13 +249,13 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_n
         m = shared.value
         lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
         at = 0
-        for count in chunk_counts(texts.tolist()) if m is not None else ():
-            known = np.flatnonzero(count.any(1))
+        for c in chunk_counts(texts.tolist()) if m is not None else ():
+            known = np.unique(c.row)
             if len(known):
-                p = m.probabilities(count[known])
+                p = m.probabilities(c)[known]
                 best = p.argmax(1)
                 lang[at + known], score[at + known] = np.array(m.classes, object)[best], p[np.arange(len(known)), best]
-            at += len(count)
+            at += c.n
         return pd.DataFrame({"lang": lang, "score": score})
 
     cols = [c for c in docs.columns if c not in (lang_name, score_name)]
