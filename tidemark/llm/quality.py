@@ -184,5 +184,5 @@ def op1_quality(spark, sf_dir: str) -> DataFrame:
     rows = cut(measure(docs))
     out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(4)) == 2, F.lit(False))
     rows = rows.withColumn("held_out", out)
-    learn = rows.where(~F.col("held_out")).join(labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")), "id")
+    learn = cut(rows.where(~F.col("held_out")).join(labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")), "id").select("x", "label"))
     return score(rows, fit(learn)).select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
