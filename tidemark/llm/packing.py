@@ -16,7 +16,10 @@ classes do not know (or with a special token's string) are encoded whole.  In ei
 case a sentence ends with a piece that ends in one of ``STOPS``.
 
 Nothing is shuffled and state is bounded: a partition is packed in runs of about
-``run_tokens``, and what follows the settled cuts is carried into the next run.
+``run_tokens``.  Each run is packed to its end, all but its last four windows are settled,
+and those are packed again with the next run; the cuts are the best of a run, not of the
+stream, which costs next to nothing as the best cuts of a prefix soon agree with those of
+the whole.
 
 Defined results: null and empty text is the end token alone; every id is in
 exactly one piece; repeated rows are packed each; an empty table gives an empty
@@ -76,7 +79,9 @@ def _ranked(path: str):
         return None
     made = {a + b for a, b in merges}
     ranks = {as_bytes(t): i for t, i in vocab.items() if t in made or t in byte_of}
-    return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    # not a public name of that library; without it every piece goes to the tokenizer itself
+    core = getattr(tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}), "_core_bpe", None)
+    return getattr(core, "encode_single_piece", None)
 
 
 class PieceTokenizer:
