@@ -205,9 +205,9 @@ def _(spark, d):
     return I.windows(x, "len", 81, 8).select("key", "k", "offset", "n", "overlap_prev")
 
 
-@query("chunk_length_sweep", _windows_sql("SELECT range AS key, range AS n FROM range(1, 1001)", 81, 8))
+@query("chunk_length_sweep", _windows_sql("SELECT p_partkey AS key, p_partkey AS n FROM part", 81, 8))
 def _(spark, d):
-    return I.windows(spark.range(1, 1001).select(F.col("id").alias("key"), F.col("id").alias("len")), "len", 81, 8).select("key", "k", "offset", "n", "overlap_prev")
+    return I.windows(table(spark, d, "part").select(F.col("p_partkey").alias("key"), F.col("p_partkey").alias("len")), "len", 81, 8).select("key", "k", "offset", "n", "overlap_prev")
 
 
 @query("pilot_overlap_join", f"WITH {_CUTS}, pilot AS (SELECT user_id, total // 3 AS b_start, total // 3 + 10 AS b_stop FROM t) SELECT s.user_id, s.start, s.stop, coalesce(s.start < p.b_stop AND s.stop > p.b_start, false) AS is_pilot FROM shots s LEFT JOIN pilot p USING (user_id)")

@@ -126,12 +126,12 @@ def _(spark, d):
     return table(spark, d, "orders").withColumn("v", v).select("o_orderkey", S.human_size(F.col("v")).alias("size"), S.human_time(F.col("v")).alias("span"), F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss'Z'").alias("stamp"), F.floor(F.col("v") / 16).alias("frame_of"))
 
 
-@query("legal_lengths", "SELECT range AS n, ((greatest(range, 1) - 1) // 4) * 4 + 1 AS legal, CAST(greatest(16, round_even(range / 16.0, 0) * 16) AS BIGINT) AS sixteen, CAST(ceil(range / 73.0) AS BIGINT) AS chunks FROM range(0, 2000)")
+@query("legal_lengths", "SELECT p_partkey AS n, ((greatest(p_partkey, 1) - 1) // 4) * 4 + 1 AS legal, CAST(greatest(16, round_even(p_partkey / 16.0, 0) * 16) AS BIGINT) AS sixteen, CAST(ceil(p_partkey / 73.0) AS BIGINT) AS chunks FROM part")
 def _(spark, d):
     from ..operators.intervals import snap_length, to_sixteen
 
     n = F.col("n")
-    return spark.range(2000).select(F.col("id").alias("n")).select("n", snap_length(n).alias("legal"), to_sixteen(n.cast("double")).alias("sixteen"), F.ceil(n / 73.0).alias("chunks"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("n")).select("n", snap_length(n).alias("legal"), to_sixteen(n.cast("double")).alias("sixteen"), F.ceil(n / 73.0).alias("chunks"))
 
 
 # settings that build on others: a customer's is a third of its number, some have none, the first two run in a circle
