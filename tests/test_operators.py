@@ -222,9 +222,14 @@ def test_streams_equal_batch(spark, data, tmp_path):
         assert have == need if i < 2 else set(have) <= set(need) and len(have) > 0.9 * len(need)
     twice = ST.once(s, ["event_type", "user_id"], late="60 days")
     assert ST.drain(twice, "once", str(tmp_path / "co")).count() == batch.select("event_type", "user_id").distinct().count()
-    q = ST.upsert_into(s, str(tmp_path / "table"), ["user_id"], ["ts", "event_id"], str(tmp_path / "cu"))
-    q.awaitTermination()
-    table, _ = T.load_current(spark, str(tmp_path / "table"))
+    for every in (1, 2, 99):  # whole tables after each batch, after every second, never
+        q = ST.upsert_into(s, str(tmp_path / f"table{every}"), ["user_id"], ["ts", "event_id"], str(tmp_path / f"cu{every}"), every)
+        q.awaitTermination()
+    assert T.current_version(spark, str(tmp_path / "table99")) == -1 < T.current_version(spark, str(tmp_path / "table1"))
+    for every in (1, 2, 99):
+        table = ST.upserted(spark, str(tmp_path / f"table{every}"), ["user_id"], ["ts", "event_id"])
+        assert rows(table.select("user_id", "event_id")) == rows(T.latest(b, ["user_id"], "ts", "event_id").select("user_id", "event_id"))
+    table = ST.upserted(spark, str(tmp_path / "table2"), ["user_id"], ["ts", "event_id"])
     assert rows(table.select("user_id", "event_id")) == rows(T.latest(b, ["user_id"], "ts", "event_id").select("user_id", "event_id"))
     runs = ST.presence_runs(s.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 20.0)
     assert ST.drain(runs, "runs", str(tmp_path / "cr")).count() > 0

@@ -90,18 +90,20 @@ def save_if_unchanged(df: DataFrame, path: str, expected: int, stale_after: floa
     return new
 
 
-def current_version(spark, path: str) -> int:
-    """The highest complete version under ``path`` (-1 without one)."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+def versions(spark, path: str, prefix: str = "v=") -> list[int]:
+    """Numbers of the complete folders ``<prefix>N`` under ``path``, ascending."""
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    p = name(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return -1
-    found = [-1]
-    for s in fs.listStatus(p):
-        name = s.getPath().getName()
-        if name.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")):
-            found.append(int(name[2:]))
-    return max(found)
+        return []
+    found = [s.getPath() for s in fs.listStatus(p)]
+    return sorted(int(x.getName()[len(prefix) :]) for x in found if x.getName().startswith(prefix) and fs.exists(name(x, "_SUCCESS")))
+
+
+def current_version(spark, path: str) -> int:
+    """The highest complete version under ``path`` (-1 without one)."""
+    return max(versions(spark, path), default=-1)
 
 
 def load_current(spark, path: str) -> tuple[DataFrame, int]:
