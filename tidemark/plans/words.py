@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import text as X
 from ..operators.graphs import chain, depths
+from ..session import spread
 from .common import table
 
 QUERIES: dict = {}
@@ -32,12 +33,12 @@ t AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(lower(t
 def _(spark, d):
     docs = table(spark, d, "documents")
     n = X.needles(table(spark, d, "benchmark"), "text", docs.select(F.lower("source").alias("word")).distinct())
-    return X.needle_hits(docs, "doc_id", "text", n)
+    return X.needle_hits(spread(docs.select("doc_id", "text")), "doc_id", "text", n)
 
 
 @query("passage_scan", "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def _(spark, d):
-    return X.passage_hits(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
+    return X.passage_hits(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
 
 
 _CLAUSES = "unnest(list_filter(list_transform(string_split_regex(lower(text), '[,\n]'), lambda c: trim(regexp_replace(regexp_replace(c, '\\{[^}]*\\}', '', 'g'), '\\s+', ' ', 'g'))), lambda c: length(c) >= 12)) AS clause"
@@ -48,7 +49,7 @@ SELECT doc_id, count(*) AS clauses FROM documents JOIN (SELECT clause FROM c EXC
 def _(spark, d):
     split = lambda df: df.select(F.explode(S.clauses(F.lower("text"))).alias("clause")).distinct()
     wanted = split(table(spark, d, "benchmark")).join(split(table(spark, d, "conversations")), "clause", "left_anti").withColumn("name", F.col("clause"))
-    return X.passage_hits(table(spark, d, "documents"), "doc_id", "text", wanted, "name", "clause", lower=True).groupBy("doc_id").agg(F.count("*").alias("clauses"))
+    return X.passage_hits(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", wanted, "name", "clause", lower=True).groupBy("doc_id").agg(F.count("*").alias("clauses"))
 
 
 @query("glob_find", "SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '/[0-9]+\\.html$') AND regexp_matches(html, '(?i)<nav') ORDER BY page_id LIMIT 40".replace("\\\\", "\\"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Spark 4.1 may read a union of equally partitioned inputs as partitioned alike although adaptive
 #: execution has merged their partitions differently; grouping such a union then splits keys.
 #: Arrow batches are bounded by bytes as well as rows, as rows may be very long.
-SETTINGS = {"spark.sql.unionOutputPartitioning": "false", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+SETTINGS = {"spark.sql.unionOutputPartitioning": "false", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 #: Spark drops the shuffle files of an action as soon as it has ended, where this is set.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -68,6 +68,15 @@ def cut(df: DataFrame) -> DataFrame:
             spark.conf.set(CLEAN_UP, before)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files give work to a quarter of them at most, such as one file of one row group.
+
+    Only small inputs are like that; others keep the partitions that their files give.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 4 * df.rdd.getNumPartitions() <= cores else df
+
+
 def ship(spark: SparkSession) -> None:
     """Set what right results need, and send this package's modules and tables to the executors once per Spark context."""
     prepare(spark)
