@@ -11,7 +11,8 @@ characters or words in Python.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ _rng = np.random.default_rng(20240501)
 _BASES = [int(x) for x in _rng.integers(1 << 29, (1 << 31) - 1, 2)]
 _VALUES = _rng.integers(1, (1 << 31) - 1, (2, 256)).astype(np.uint64)
 _powers: list[list[np.ndarray]] = []
+_STRIDE = 1 << 15
 #: For short strings of one length, a polynomial modulo 2**64 (not sound for long ones, whatever its base).
 SHORT = 64
 _BASE64 = 0x9E3779B97F4A7C15 | 1
@@ -89,7 +91,15 @@ class Block:
             self._prefix = []
             for value, (power, _) in zip(_VALUES, _power_tables(n + 1)):
                 s = np.zeros(n + 1, np.uint64)
-                np.cumsum(_fold(value[self.data] * power[:n]), out=s[1:])
+                for i in range(0, n, _STRIDE):  # some at a time, which stay in the processor's cache
+                    v = value[self.data[i : i + _STRIDE]]
+                    v *= power[i : i + len(v)]
+                    high = v >> _P_BITS
+                    v &= _P
+                    v += high
+                    part = s[i + 1 : i + 1 + len(v)]
+                    np.cumsum(v, out=part)
+                    part += s[i]
                 self._prefix.append(s)
         return self._prefix
 
@@ -170,13 +180,31 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off
 
 
+def tidy() -> None:
+    """Give freed memory back to the system, which allocators keep otherwise; workers live as long as the executor."""
+    global _trim
+    pa.default_memory_pool().release_unused()
+    if _trim is None:
+        try:
+            _trim = ctypes.CDLL(None).malloc_trim
+        except (OSError, AttributeError, TypeError):  # another C library
+            _trim = lambda _: 0
+    _trim(0)
+
+
+_trim: Callable[[int], int] | None = None
+
+
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
+    """Documents of a column in blocks of about ``limit`` bytes."""
     data, off = utf8(column)
     i, n = 0, len(off) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
         yield Block(data[off[i] : off[j]], off[i : j + 1] - off[i], slice(i, j))
         i = j
+    if len(data) >= limit:
+        tidy()
 
 
 def shingles(word: np.ndarray, first: np.ndarray, k: int, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
