@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernel as K
-from .io import table
+from .io import documents, table
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -195,7 +195,7 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for b in K.blocks(batch["text"], 4 * K.BLOCK_BYTES):
+                for b in K.blocks(batch["text"], K.BLOCK_BYTES):
                     best = _best(b, shared.value, least_score)
                     if best:
                         doc = pa.array([b.rows.start + d for d, _ in best])
@@ -213,7 +213,7 @@ def judge(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 count, item, score = (batch[c].to_pylist() for c in ("n_items", "best_item", "best_score"))
-                for b in K.blocks(batch["text"], 4 * K.BLOCK_BYTES):
+                for b in K.blocks(batch["text"], K.BLOCK_BYTES):
                     by_doc: dict[int, dict] = {}
                     for (d, k), s in _best(b, shared.value, least_score).items():
                         own, name = by_doc.setdefault(b.rows.start + d, {}), shared.value.ids[k]
@@ -237,7 +237,7 @@ def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = np.ones(batch.num_rows, bool)
-                for b in K.blocks(batch[text_col], 4 * K.BLOCK_BYTES):
+                for b in K.blocks(batch[text_col], K.BLOCK_BYTES):
                     good[[b.rows.start + d for d, _ in _best(b, shared.value, least_score)]] = False
                 yield batch.filter(pa.array(good))
 
@@ -246,4 +246,4 @@ def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judge(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "benchmark"))

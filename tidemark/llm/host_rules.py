@@ -104,9 +104,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
 
 def op10_host_rules(spark, sf_dir: str) -> DataFrame:
-    from .io import table
+    from .io import documents
 
-    return judge(table(spark, sf_dir, "documents")).select("doc_id", *SIGNALS, "base_failed", "kept")
+    return judge(documents(spark, sf_dir, "doc_id", "text", "source")).select("doc_id", *SIGNALS, "base_failed", "kept")
 
 
 SQL = r"""

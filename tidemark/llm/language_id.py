@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .io import table
+from .io import documents
 
 BUCKETS = 1 << 15
 _MUL = np.int64(0x5851F42D4C957F2D)
@@ -267,7 +267,7 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     docs = docs.withColumn("held_out", F.coalesce(held_out("doc_id", 3, 1), F.lit(False)))
     model = train(docs.where(~F.col("held_out")))
     return predict(docs.select("doc_id", "held_out", "text"), model).drop("text")

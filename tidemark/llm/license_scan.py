@@ -26,7 +26,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .io import table
+from .io import documents
 
 #: Every known sentence holds one of these.
 KEYWORDS = ("license", "permission", "redistribution", "rights reserved", "public domain", "the software is provided as is")
@@ -122,7 +122,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents")).withColumn("licenses", F.array_join("licenses", ","))
+    return scan(documents(spark, sf_dir, "doc_id", "text")).withColumn("licenses", F.array_join("licenses", ","))
 
 
 def _sql() -> str:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernel as K
-from .io import cut, table
+from .io import cut, documents
 
 _SALT = np.uint64(0x51ED270B35AE4D39)
 #: log2 of the sketch's registers and four of its relative standard errors.
@@ -150,7 +150,7 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
-    kept = remove_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    kept = remove_lines(documents(spark, sf_dir, "doc_id", "text", "source"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

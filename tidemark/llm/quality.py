@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .host_rules import signals
-from .io import cut, table
+from .io import cut, documents, table
 
 _UPPER, _DIGIT, _PUNCT, _ALPHA, _STOP = (np.zeros(256, bool) for _ in range(5))
 _UPPER[65:91] = True
@@ -180,7 +180,7 @@ def score(measured: DataFrame, model: Model, cut_at: float = 0.7) -> DataFrame:
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "labels")
     rows = cut(measure(docs))
     out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(4)) == 2, F.lit(False))
     rows = rows.withColumn("held_out", out)

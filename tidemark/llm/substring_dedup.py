@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .io import cut, table, width
+from .io import cut, documents, width
 
 _DOC = np.uint64(0x9E3779B97F4A7C15)
 
@@ -428,4 +428,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return remove_repeats(documents(spark, sf_dir, "doc_id", "text"), with_text=False)
