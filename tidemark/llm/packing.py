@@ -30,9 +30,10 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -87,14 +88,14 @@ def _ranked(path: str):
 class PieceTokenizer:
     """Ids of whole blocks of text, equal to encoding each document by ``tokenizers``."""
 
-    CACHE = 1 << 20
+    CACHE = 1 << 18
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.own.get_added_tokens_decoder().values()]
-        self.seen: dict[int, list[int]] = {}
+        self.seen: dict[int, bytes] = {}  # fingerprint of a piece: its ids
         self.single = _ranked(path)
 
     def whole(self, text: str) -> list[int]:
@@ -172,10 +173,11 @@ class PieceTokenizer:
         if new:
             where = at[new]
             for i, x, y in zip(new, s[where].tolist(), e[where].tolist()):
-                known[keys[i]] = self.single(raw[x:y]) if self.single else self.whole(raw[x:y].decode())
+                ids = self.single(raw[x:y]) if self.single else self.whole(raw[x:y].decode())
+                known[keys[i]] = array("I", ids).tobytes()
         ids = [known[k] for k in keys]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         base = np.cumsum(size) - size
         width = size[inv]
         total = int(width.sum())
@@ -200,6 +202,14 @@ class PieceTokenizer:
         return tokens, doc_first, close
 
 
+@lru_cache(maxsize=1)
+def tokenizer(path: str) -> PieceTokenizer:
+    """The tokenizer of a file; a worker process reads it once and keeps it, with the pieces it has seen."""
+    made = PieceTokenizer(path)
+    K.tidy()
+    return made
+
+
 def best_cuts(pos: np.ndarray, kind: np.ndarray, limit: int, penalty: tuple[float, float, float]) -> list[int]:
     """Indices into ``pos`` (ascending, from 0 to the stream's end) of the cheapest cuts.
 
@@ -316,7 +326,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        tok = PieceTokenizer(tokenizer_path)
+        tok = tokenizer(tokenizer_path)
         context = TaskContext.get()
         packer = Packer(limit, (0.0, sentence_penalty, forced_penalty), grid, (context.partitionId() if context else 0) << 40)
         ids, marks, held, count = [], [], [], 0
@@ -328,7 +338,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             names = batch["id"].to_pylist()
-            for b in K.blocks(batch["text"], 4 * K.BLOCK_BYTES):
+            for b in K.blocks(batch["text"], 2 * K.BLOCK_BYTES):
                 t, first, close = tok.encode(b)
                 n = np.diff(first) + 1
                 at = first[1:] + np.arange(b.n)  # places of the end ids
