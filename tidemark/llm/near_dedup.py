@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from ..operators.components import connected_components
 from . import kernel as K
-from .io import cut, table, width
+from .io import cut, documents, width
 
 PERMS, TREES, DEPTHS, REGION = 128, 24, (4, 8, 16, 32), 1024
 #: Shingles, in all members' sets together, up to which a region is decided at once (8 bytes each).
@@ -131,7 +131,8 @@ def _regions(classes: DataFrame) -> DataFrame:
             by_tree = F.array(*(_prefix(t, depth) for t in range(TREES)))
             rows = rows.join(classes.select("rep", by_tree.alias("names")), "rep").select("rep", "n", "tree", F.element_at("names", F.col("tree") + 1).alias("region"))
         sizes = rows.groupBy("region").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("rep").alias("low")).where("size > 1")
-        rows = cut(rows.join(sizes, "region"))
+        # cut, so that sizes are not grouped where they are joined: adaptive execution splits a hot region only then
+        rows = cut(rows.join(cut(sizes), "region"))
         at_once = F.col("size") <= REGION
         if level == 0:
             at_once &= F.col("weight") <= WEIGHT
@@ -256,6 +257,7 @@ def _dealt(rows: DataFrame) -> DataFrame:
     deal = lambda size, weight: F.greatest(F.ceil(size / half), F.least(size, F.ceil(weight / heavy)))
     outside = deal(F.col("size") - F.col("most.size"), F.col("weight") - F.col("most.weight"))
     blocks = sizes.select("region", F.col("most.component").alias("top"), outside.alias("out"), deal(F.col("most.size"), F.col("most.weight")).alias("in"))
+    blocks = cut(blocks)  # as in _regions
     salted = F.xxhash64("region", "rep")
     outside = F.col("component") != F.col("top")
     rows = rows.join(blocks, "region").withColumn("block", F.when(outside, F.pmod(salted, F.col("out"))).otherwise(F.col("out") + F.pmod(salted, F.col("in"))))
@@ -422,4 +424,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Three-word shingles at 85 in 100, as the contract of this query states."""
-    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), k=3, percent=85)
